@@ -22,7 +22,16 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of every text once each word of a repeated window of 35 words is gone."""
+    from .substring_dedup import remove_repeats
+
+    made = remove_repeats(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_substring_dedup": op8_substring_dedup,
     "op7_sentencepiece": op7_sentencepiece,
 }
 
