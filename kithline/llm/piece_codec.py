@@ -4,7 +4,9 @@ A text gets one leading mark, spaces become the mark, and it falls into segments
 characters). No piece of a merge-type vocabulary used here has a mark behind another character
 (checked when the model is loaded; otherwise a text is one segment), so no merge crosses a segment
 and equal segments are encoded once. Within one, the pair with the best score, then the leftmost, is
-merged until none is in the vocabulary; characters outside it fall back to their bytes.
+merged until none is in the vocabulary; characters outside it fall back to their bytes. The new
+segments of a batch keep their agendas side by side, as rows of an array for each length: one step
+takes the best pair of every row. Long ones, and runs of marks, whose scores tie, have a heap each.
 
 In each Arrow batch, every newly met segment and one whole text are held against the sentencepiece
 library; a difference raises. A bounded memory of segments is kept in each worker.
@@ -17,20 +19,26 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow, chunks
+from .common import U64, arrow, chunks
 
 MARK = "▁"
 SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Segments that a worker remembers; the older half is dropped when it is full.
 REMEMBERED = 300_000
+#: Longer segments have an agenda of their own.
+LONG = 40
+PAIR_BITS = 19
+NONE = np.int32(2**31 - 1)
 
 
 class Codec:
@@ -47,6 +55,7 @@ class Codec:
         self.bytes = [lib.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.fallback = all(map(lib.is_byte, self.bytes))
         self.split = not any(MARK in p.lstrip(MARK) for p in self.ids)
+        self._arrays()
         self.young: dict[str, tuple[tuple[int, ...], str]] = {}
         self.old: dict[str, tuple[tuple[int, ...], str]] = {}
 
@@ -81,6 +90,94 @@ class Codec:
                     out.append(self.library.unk_id())
         return out
 
+    def _arrays(self) -> None:
+        """Tables for many segments at once: symbols of characters, and the ranks of pairs in a cascade of hash tables."""
+        self.symbol = np.arange(0x110000, dtype=np.int64) + len(self.library)
+        for p, i in self.ids.items():
+            if len(p) == 1:
+                self.symbol[ord(p)] = i
+        ranked = sorted((p for p in self.ids if set(p) != {MARK} or len(p) == 1), key=self.scores.__getitem__)
+        self.side_by_side = len({self.scores[p] for p in ranked}) == len(ranked)
+        self.by_rank = np.array([self.ids[p] for p in ranked], np.int64)
+        known = lambda x: int(self.symbol[ord(x)]) if len(x) == 1 else self.ids.get(x)
+        pairs = {}
+        for r, p in enumerate(ranked):
+            for k in range(1, len(p)):
+                left, right = known(p[:k]), known(p[k:])
+                if left is not None and right is not None:
+                    pairs[left << 21 | right] = r
+        keys, ranks = np.array(list(pairs), np.int64), np.array(list(pairs.values()), np.int32)
+        self.tables = []
+        while len(keys):
+            odd = U64(0x9E3779B97F4A7C15 + 2 * len(self.tables) * 0x51ED27)
+            at = (keys.astype(U64) * odd >> U64(64 - PAIR_BITS)).astype(np.int64)
+            held, value = np.full(1 << PAIR_BITS, -1, np.int64), np.full(1 << PAIR_BITS, NONE, np.int32)
+            held[at], value[at] = keys, ranks
+            self.tables.append((odd, held, value))
+            left_out = held[at] != keys
+            keys, ranks = keys[left_out], ranks[left_out]
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair, NONE if it can't be merged."""
+        key = left << 21 | right
+        out = np.full(key.shape, NONE, np.int32)
+        for odd, held, value in self.tables:
+            at = (key.astype(U64) * odd >> U64(64 - PAIR_BITS)).astype(np.int64)
+            hit = held[at] == key
+            out[hit] = value[at[hit]]
+        return out
+
+    def merge_rows(self, segments: list[str]) -> list[list[int]]:
+        """Ids of segments of one length, their agendas side by side."""
+        n, width = len(segments), len(segments[0])
+        rows = self.symbol[np.frombuffer("".join(segments).encode("utf-32-le"), np.uint32)].reshape(n, width)
+        out: list[list[int]] = [[]] * n
+        who, ranks = np.arange(n), self.rank(rows[:, :-1], rows[:, 1:])
+        while len(who):
+            at = ranks.argmin(axis=1) if width > 1 else np.zeros(len(who), np.int64)
+            best = ranks[np.arange(len(who)), at] if width > 1 else np.full(len(who), NONE, np.int32)
+            over = best == NONE
+            for i, ids in zip(who[over].tolist(), rows[over].tolist(), strict=True):
+                out[i] = ids
+            live = ~over
+            who, rows, ranks, at, best = who[live], rows[live], ranks[live], at[live], best[live]
+            if not len(who):
+                break
+            cell, col, place = np.arange(len(who)), np.arange(width - 1), at[:, None]
+            rows = np.where(col <= place, rows[:, :-1], rows[:, 1:])
+            rows[cell, at] = self.by_rank[best]
+            width -= 1
+            ranks = np.where(col[:-1] < place, ranks[:, :-1], ranks[:, 1:])
+            for k, ok in ((at - 1, at > 0), (at, at < width - 1)):
+                ranks[cell[ok], k[ok]] = self.rank(rows[cell[ok], k[ok]], rows[cell[ok], k[ok] + 1])
+        size = len(self.library)
+        if max(map(max, out)) >= size:
+            out = [self.spelled(ids) if max(ids) >= size else ids for ids in out]
+        return out
+
+    def spelled(self, ids: list[int]) -> list[int]:
+        """With the bytes of characters that the vocabulary lacks."""
+        size, found = len(self.library), []
+        for i in ids:
+            if i < size:
+                found.append(i)
+            elif self.fallback:
+                found.extend(self.bytes[b] for b in chr(i - size).encode())
+            elif not found or found[-1] != self.library.unk_id():
+                found.append(self.library.unk_id())
+        return found
+
+    def merge_all(self, segments: list[str]) -> list[list[int]]:
+        out: list[list[int]] = [[]] * len(segments)
+        by_length = defaultdict(list)
+        for i, s in enumerate(segments):
+            by_length[len(s) if self.side_by_side and len(s) <= LONG and MARK + MARK not in s else 0].append(i)
+        for length, those in by_length.items():
+            made = self.merge_rows([segments[i] for i in those]) if length else [self.merge(segments[i]) for i in those]
+            for i, ids in zip(those, made, strict=True):
+                out[i] = ids
+        return out
+
     def segments(self, text: str) -> list[str]:
         if not text:
             return []
@@ -90,9 +187,12 @@ class Codec:
     def learn(self, new: list[str]) -> None:
         """Encode segments not met before, and hold them against the library."""
         asked = [s for s in new if s != MARK]
-        for s, theirs in zip(asked, self.library.encode([s[1:].replace(MARK, " ") for s in asked], num_threads=1), strict=True):
-            if (ours := self.merge(s)) != theirs:
-                raise ValueError(f"the agenda gives {ours} for {s!r}, the library {theirs}")
+        made = self.merge_all(asked)
+        theirs = self.library.encode([s[1:].replace(MARK, " ") for s in asked], num_threads=1)
+        if made != theirs:
+            s, ours, wanted = next(x for x in zip(asked, made, theirs, strict=True) if x[1] != x[2])
+            raise ValueError(f"the agenda gives {ours} for {s!r}, the library {wanted}")
+        for s, ours in zip(asked, made, strict=True):
             self.young[s] = tuple(ours), ",".join(map(str, ours))
         if len(asked) < len(new):
             self.young[MARK] = tuple(ours := self.merge(MARK)), ",".join(map(str, ours))
