@@ -12,6 +12,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document at a weighted Jaccard similarity of 0.8, and its number of links."""
+    from .near_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text as ids and back, as digests."""
     import public_tokenizers
@@ -31,6 +38,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_near_duplicates": op5_near_duplicates,
     "op8_substring_dedup": op8_substring_dedup,
     "op7_sentencepiece": op7_sentencepiece,
 }
