@@ -12,6 +12,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document and every page (doc_id or page_id is null), and whether it is kept."""
+    from .language_id import from_html, identify
+
+    documents = table(spark, sf_dir, "documents")
+    none = F.lit(None).cast("string")
+    records = documents.select("doc_id", F.lit(None).cast("bigint").alias("page_id"), "text", F.col("lang").alias("declared"), F.col("source").alias("host"), none.alias("hint"))
+    pages = from_html(table(spark, sf_dir, "pages")).select(F.lit(None).cast("bigint").alias("doc_id"), "page_id", "text", "declared", "host", "hint")
+    return identify(records.unionByName(pages), documents.select("text", "lang", none.alias("declared")), ["doc_id", "page_id"])
+
+
 #: (host, path, verdict)
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
@@ -82,7 +93,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_url_filter, op5_near_duplicates, op7_sentencepiece, op8_substring_dedup, op9_exact_top_k, op10_mixing)
+    f.__name__: f for f in (op1_language_id, op2_url_filter, op5_near_duplicates, op7_sentencepiece, op8_substring_dedup, op9_exact_top_k, op10_mixing)
 }
 
 ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op9_exact_top_k": OP9_SQL}
