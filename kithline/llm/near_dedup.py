@@ -8,13 +8,14 @@ the corpus.
 1. Equal texts are one text from here on; they share a class without any comparison.
 2. Each text gets BANDS * ROWS samples by improved consistent weighted sampling (Ioffe, 2010): two
    texts agree in one with the probability of their weighted Jaccard similarity. ROWS samples are a
-   band's key. At similarity 0.8 a pair meets in no band with probability (1 - 0.8**3)**14 < 5e-5.
+   band's key. At similarity 0.8 a pair meets in no band with probability (1 - 0.8**3)**13 < 1e-4.
 3. In each band bucket all texts are compared with one leader, by the weighted Jaccard similarity of
    their whole texts. Compared pairs at or over the threshold are links; connected components are
    classes. Texts of a bucket that lie in different classes after that and could still be linked (their
-   distances to the leader differ by at most 1 - threshold: that distance is a metric) meet in further
-   rounds, each under a new leader, until none is left. So no pair inside a group is listed that is
-   already in one class, no bucket is cut off, and no link between classes is lost.
+   distances to the leader differ by at most 1 - threshold: that distance is a metric) are compared
+   pair by pair where a bucket has at most FEW of them, else in further rounds, each under a new leader,
+   until none is left. So no pair inside a group is listed that is already in one class, no bucket is
+   cut off, and no link between classes is lost.
 
 Result: one row per input row with key, class_id (the least key of the class) and n_links (compared
 pairs of its text that are links). Nulls and empty texts have no shingles: they are copies of each
@@ -36,7 +37,8 @@ from .common import U64, arrow, chunks, grams, mix, shelve, text_bytes, words
 
 SHINGLE, THRESHOLD = 5, 0.8
 IDF_BITS = 18
-BANDS, ROWS = 14, 3
+BANDS, ROWS = 13, 3
+FEW = 32
 _TABLE_BITS = 16
 
 
@@ -53,12 +55,9 @@ def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     if len(few):
         short = np.array([mix(np.array([np.bitwise_xor.reduce(mix(w.hash[w.first[i] : w.first[i + 1]] + np.arange(size[i], dtype=U64)))]))[0] for i in few], U64)
         row, found = np.concatenate([row, few]), np.concatenate([found, short])
-    order = np.lexsort((found, row))
-    row, found = row[order], found[order]
-    new = np.ones(len(row), bool)
-    new[1:] = (row[1:] != row[:-1]) | (found[1:] != found[:-1])
-    head = np.flatnonzero(new)
-    return row[head], found[head], np.diff(np.append(head, len(row)))
+    key = np.sort(row.astype(U64) << U64(48) | found >> U64(16))  # a batch has fewer than 2**16 texts
+    head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
+    return (key[head] >> U64(48)).astype(np.int64), mix(key[head] & U64((1 << 48) - 1)), np.diff(np.append(head, len(key)))
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:
@@ -77,32 +76,46 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 @lru_cache(maxsize=1)
-def _randoms() -> np.ndarray:
+def _randoms() -> tuple[np.ndarray, ...]:
     """For each table entry: r, 1 / r, ln c and beta of the sampling, with r and c from Gamma(2, 1)."""
     rng = np.random.Generator(np.random.PCG64(20260101))
     n = 1 << _TABLE_BITS
     r, c = rng.gamma(2, 1, n), rng.gamma(2, 1, n)
-    return np.stack([r, 1 / r, np.log(c), rng.random(n)], 1).astype(np.float32)
+    return tuple(x.astype(np.float32) for x in (r, 1 / r, np.log(c), rng.random(n)))
 
 
 def samples(row: np.ndarray, h: np.ndarray, weight: np.ndarray, n_rows: int, n: int) -> np.ndarray:
-    """n consistent weighted samples of each row's weighted shingles (0 where a row has none)."""
+    """n consistent weighted samples of each row's weighted shingles (0 where a row has none).
+
+    A sample is the smallest ln a, as a float moved into the positive, followed by bits of its shingle;
+    ln a tells the sampled level, so equal samples are equal (shingle, level) pairs.
+    """
     out = np.zeros((n_rows, n), U64)
     if not len(row):
         return out
     head = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-    table, log_w = _randoms(), np.log(weight).astype(np.float32)
+    r, inverse_r, log_c, beta = _randoms()
+    log_w = np.log(weight).astype(np.float32)
     rng = np.random.Generator(np.random.PCG64(7))
     for j in range(n):
         g = h * U64(int(rng.integers(1 << 62)) * 2 + 1)
         g ^= g >> U64(29)
         g *= U64(0xBF58476D1CE4E5B9)
-        p = table[(g >> U64(64 - _TABLE_BITS)).astype(np.int64)]
-        t = np.floor(log_w * p[:, 1] + p[:, 3])
-        log_a = p[:, 2] - p[:, 0] * (t - p[:, 3] + np.float32(1))
-        b = log_a.view(np.uint32)
-        b = np.where(b >> 31 != 0, ~b, b | np.uint32(1 << 31))  # in the order of the numbers
-        out[row[head], j] = np.minimum.reduceat(b.astype(U64) << U64(32) | (g & U64(0xFFFFFFFF)), head)
+        p = (g >> U64(64 - _TABLE_BITS)).view(np.int64)
+        b = beta[p]
+        t = log_w * inverse_r[p]
+        t += b
+        np.floor(t, out=t)
+        t -= b
+        t += np.float32(1)
+        t *= r[p]
+        log_a = log_c[p]
+        log_a -= t
+        log_a += np.float32(256)
+        key = log_a.view(np.uint32).astype(U64)
+        key <<= U64(32)
+        key |= g & U64(0xFFFFFFFF)
+        out[row[head], j] = np.minimum.reduceat(key, head)
     return out
 
 
@@ -183,6 +196,13 @@ def components(links: DataFrame, vertices: DataFrame) -> DataFrame:
     return vertices.join(labels, "uid", "left").select("uid", F.coalesce("comp", "uid").alias("comp"))
 
 
+def compare_pairs(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
+    """pairs (a, b) with the similarity of their texts (uid, text). A leader's text meets its pairs last, so it is not copied in a shuffle."""
+    with_a = pairs.join(texts.withColumnsRenamed({"uid": "a", "text": "text_a"}), "a")
+    both = with_a.join(texts.withColumnsRenamed({"uid": "b", "text": "text_b"}), "b").select("a", "b", "text_a", "text_b")
+    return both.mapInArrow(_compare(idf), "a bigint, b bigint, similarity double").groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
+
+
 def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, class_id and n_links of every row."""
     rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -196,36 +216,36 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, key: str = "doc
     exploded = shelve(exploded)
     many = exploded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("uid").alias("leader")).where("n > 1")
     state = shelve(exploded.join(many, "bucket").select("bucket", "uid", "leader"))  # who is in a bucket, and its leader
-    compared = None  # (a, b, similarity), a < b
-    retired = None  # (bucket, uid): former leaders
-    distance = None  # (bucket, uid, d): distance to the bucket's first leader
-    comp = None
+    pairs = state.where("uid != leader").select(F.greatest("uid", "leader").alias("a"), F.least("uid", "leader").alias("b"))
+    compared, retired, distance = None, None, None  # (a, b, similarity); former leaders (bucket, uid); distance to the first (bucket, uid, d)
     while True:
-        pairs = state.where("uid != leader").select(F.greatest("uid", "leader").alias("a"), F.least("uid", "leader").alias("b")).distinct()
+        fresh = pairs.distinct()
         if compared is not None:
-            pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        with_a = pairs.join(texts.withColumnRenamed("uid", "a").withColumnRenamed("text", "text_a"), "a")
-        with_b = with_a.join(texts.withColumnRenamed("uid", "b").withColumnRenamed("text", "text_b"), "b").select("a", "b", "text_a", "text_b")
-        fresh = with_b.mapInArrow(_compare(idf), "a bigint, b bigint, similarity double").groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
-        fresh = shelve(fresh)
+            fresh = fresh.join(compared, ["a", "b"], "left_anti")
+        fresh = shelve(compare_pairs(fresh, texts, idf))
         compared = fresh if compared is None else shelve(compared.unionByName(fresh))
         links = compared.where(F.col("similarity") >= threshold)
         comp = shelve(components(links, first.select("uid")))
+        gone = state.where("uid = leader").select("bucket", "uid")
         if distance is None:
-            d = compared.withColumn("d", 1 - F.col("similarity")).select("a", "b", "d")
             at = state.select("bucket", "uid", F.greatest("uid", "leader").alias("a"), F.least("uid", "leader").alias("b"))
-            distance = shelve(at.join(d, ["a", "b"], "left").select("bucket", "uid", F.coalesce("d", F.lit(0.0)).alias("d")))
-        gone = state.where("uid = leader").select("bucket", "uid")
+            distance = shelve(at.join(compared, ["a", "b"], "left").select("bucket", "uid", F.coalesce(1 - F.col("similarity"), F.lit(0.0)).alias("d")))
         retired = gone if retired is None else shelve(retired.unionByName(gone))
-        open_ = distance.join(retired, ["bucket", "uid"], "left_anti").join(comp, "uid")
         by_d = Window.partitionBy("bucket").orderBy("d", "uid")
+        open_ = distance.join(retired, ["bucket", "uid"], "left_anti").join(comp, "uid")
         near = open_.withColumn("gap", F.col("d") - F.lag("d").over(by_d)).withColumn("other", F.lag("comp").over(by_d) != F.col("comp"))
-        unsettled = near.where(F.col("other") & (F.col("gap") <= 1 - threshold + 1e-9)).select("bucket").distinct()
-        size = open_.groupBy("bucket", "comp").agg(F.count("*").alias("n"), F.min("uid").alias("least"))
-        leader = size.join(unsettled, "bucket", "left_semi").groupBy("bucket").agg(F.min_by("least", F.struct("n", "least")).alias("leader"))
-        state = shelve(open_.join(leader, "bucket").select("bucket", "uid", "leader"))
-        if state.isEmpty():
+        unsettled = near.groupBy("bucket").agg(F.bool_or(F.col("other") & (F.col("gap") <= 1 - threshold + 1e-9)).alias("more"), F.count("*").alias("m")).where("more")
+        open_ = shelve(open_.join(unsettled.select("bucket", "m"), "bucket"))
+        if open_.isEmpty():
             break
+        few, many = open_.where(F.col("m") <= FEW), open_.where(F.col("m") > FEW)
+        x, y = few.alias("x"), few.alias("y")
+        close = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.uid") > F.col("y.uid")) & (F.col("x.comp") != F.col("y.comp")) & (F.abs(F.col("x.d") - F.col("y.d")) <= 1 - threshold + 1e-9)
+        last = x.join(y, close).select(F.col("x.uid").alias("a"), F.col("y.uid").alias("b"))
+        leader = many.groupBy("bucket", "comp").agg(F.count("*").alias("n"), F.min("uid").alias("least")).groupBy("bucket").agg(F.min_by("least", F.struct("n", "least")).alias("leader"))
+        state = shelve(many.join(leader, "bucket").select("bucket", "uid", "leader"))
+        pairs = last.unionByName(state.where("uid != leader").select(F.greatest("uid", "leader").alias("a"), F.least("uid", "leader").alias("b")))
+        distance = shelve(distance.join(state.select("bucket").distinct(), "bucket", "left_semi"))
     ends = links.select(F.col("a").alias("uid")).unionAll(links.select(F.col("b").alias("uid"))).groupBy("uid").agg(F.count("*").alias("n_links"))
     of_copy = first.select("copy", "uid").join(comp, "uid").join(ends, "uid", "left").select("copy", "comp", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     placed = shelve(member.select("key", "copy").join(of_copy, "copy").select("key", "comp", "n_links"))
