@@ -45,6 +45,14 @@ SELECT q.page_id, host, path, rule, coalesce(rverdict, 'allow') AS verdict FROM
 """
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every whole text, learned from six sevenths of the documents."""
+    from .bit_mixer import score_texts
+
+    made = score_texts(table(spark, sf_dir, "documents"), "crc32(cast(doc_id AS string)) % 7 != 2")
+    return made.withColumn("held_out", F.crc32(F.col("doc_id").cast("string")) % 7 == 2).drop("learned")
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of every document at a weighted Jaccard similarity of 0.8, and its number of links."""
     from .near_dedup import near_duplicates
@@ -93,7 +101,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_url_filter, op5_near_duplicates, op7_sentencepiece, op8_substring_dedup, op9_exact_top_k, op10_mixing)
+    f.__name__: f for f in (op1_language_id, op2_url_filter, op3_lm_scoring, op5_near_duplicates, op7_sentencepiece, op8_substring_dedup, op9_exact_top_k, op10_mixing)
 }
 
 ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op9_exact_top_k": OP9_SQL}
