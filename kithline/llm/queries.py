@@ -53,6 +53,25 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.withColumn("held_out", F.crc32(F.col("doc_id").cast("string")) % 7 == 2).drop("learned")
 
 
+def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text stored as lossless motion JPEG and read back, as digests, with its shots."""
+    from .motion_jpeg import read, store
+
+    media = store(table(spark, sf_dir, "documents")).withColumns({"media_bytes": F.length("media").cast("bigint"), "media_sha256": F.sha2("media", 256)})
+    made = read(media)
+    return made.select(
+        "doc_id",
+        "n_bytes",
+        F.length("payload").cast("bigint").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.expr("substring(payload, -32, 32)")).alias("tail_crc32"),
+        "media_bytes",
+        "media_sha256",
+        "feature",
+        F.size("clips").alias("n_shots"),
+    )
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of every document at a weighted Jaccard similarity of 0.8, and its number of links."""
     from .near_dedup import near_duplicates
@@ -101,7 +120,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_url_filter, op3_lm_scoring, op5_near_duplicates, op7_sentencepiece, op8_substring_dedup, op9_exact_top_k, op10_mixing)
+    f.__name__: f for f in (op1_language_id, op2_url_filter, op3_lm_scoring, op4_media_columns, op5_near_duplicates, op7_sentencepiece, op8_substring_dedup, op9_exact_top_k, op10_mixing)
 }
 
 ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op9_exact_top_k": OP9_SQL}
