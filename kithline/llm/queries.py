@@ -101,6 +101,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and templates of every whole text."""
+    from .license_scan import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text as ids and back, as digests."""
     import public_tokenizers
@@ -120,7 +127,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_url_filter, op3_lm_scoring, op4_media_columns, op5_near_duplicates, op7_sentencepiece, op8_substring_dedup, op9_exact_top_k, op10_mixing)
+    f.__name__: f for f in (op1_language_id, op2_url_filter, op3_lm_scoring, op4_media_columns, op5_near_duplicates, op6_license_scan, op7_sentencepiece, op8_substring_dedup, op9_exact_top_k, op10_mixing)
 }
 
 ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op9_exact_top_k": OP9_SQL}
