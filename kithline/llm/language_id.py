@@ -82,7 +82,7 @@ def _likelihoods(model: np.ndarray):
             data, offsets = text_bytes(part.column(part.num_columns - 1))
             bucket, row = _trigrams(data, offsets)
             n = np.bincount(row, minlength=part.num_rows)
-            ll = np.stack([np.bincount(row, m[bucket], part.num_rows) for m in model], 1) if len(model) else np.zeros((part.num_rows, 0))
+            ll = np.stack([np.bincount(row, m[bucket], part.num_rows) for m in model], 1).astype(float) if len(model) else np.zeros((part.num_rows, 0))
             letter = ((data >= 65) & (data <= 90)) | ((data >= 97) & (data <= 122)) | (data >= 128)
             letters = np.concatenate([[0], np.cumsum(letter)])
             flat = pa.ListArray.from_arrays(np.arange(part.num_rows + 1, dtype=np.int32) * ll.shape[1], pa.array(ll.ravel()))

@@ -164,8 +164,8 @@ def _judge(window: int):
     return run
 
 
-def _strip(window: int):
-    """Rows key, text, starts, bits: to the kept words."""
+def _strip(window: int, layout: bool):
+    """Rows key, text, starts, bits: to the kept words; with layout, a text that keeps all stays as it is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches):
@@ -188,7 +188,8 @@ def _strip(window: int):
             for i in range(part.num_rows):
                 a, b = w.first[i], w.first[i + 1]
                 if keep[a:b].all():
-                    kept.append(b" ".join(raw[offsets[i] : offsets[i + 1]].split()))
+                    whole = raw[offsets[i] : offsets[i + 1]]
+                    kept.append(whole if layout else b" ".join(whole.split()))
                 else:
                     on = a + np.flatnonzero(keep[a:b])
                     removed[i] = b - a - len(on)
@@ -198,8 +199,8 @@ def _strip(window: int):
     return run
 
 
-def remove_repeats(df: DataFrame, window: int = 35, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, n_words, n_removed and kept (the words left, joined by one space) of every row."""
+def remove_repeats(df: DataFrame, window: int = 35, key: str = "doc_id", text: str = "text", layout: bool = False) -> DataFrame:
+    """key, n_words, n_removed and kept of every row: the words left, joined by one space; with layout, the text itself where none goes."""
     if window < GRAM + SPREAD or window % 1:
         raise ValueError(f"a window has {GRAM + SPREAD} words at least")
     docs = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("uid", F.xxhash64("key", "text"))
@@ -216,4 +217,4 @@ def remove_repeats(df: DataFrame, window: int = 35, key: str = "doc_id", text: s
     covered = back.groupBy("uid").agg(F.collect_list(F.struct("at", "bits")).alias("hits"))
     joined = docs.join(covered, "uid", "left").select("key", "text", F.col("hits.at").alias("at"), F.col("hits.bits").alias("bits"))
     kind = docs.schema["key"].dataType.simpleString()
-    return joined.mapInArrow(_strip(window), f"key {kind}, n_words bigint, n_removed bigint, kept string").withColumnRenamed("key", key)
+    return joined.mapInArrow(_strip(window, layout), f"key {kind}, n_words bigint, n_removed bigint, kept string").withColumnRenamed("key", key)
