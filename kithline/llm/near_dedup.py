@@ -8,14 +8,17 @@ the corpus.
 1. Equal texts are one text from here on; they share a class without any comparison.
 2. Each text gets BANDS * ROWS samples by improved consistent weighted sampling (Ioffe, 2010): two
    texts agree in one with the probability of their weighted Jaccard similarity. ROWS samples are a
-   band's key. At similarity 0.8 a pair meets in no band with probability (1 - 0.8**3)**13 < 1e-4.
-3. In each band bucket all texts are compared with one leader, by the weighted Jaccard similarity of
-   their whole texts. Compared pairs at or over the threshold are links; connected components are
-   classes. Texts of a bucket that lie in different classes after that and could still be linked (their
-   distances to the leader differ by at most 1 - threshold: that distance is a metric) are compared
-   pair by pair where a bucket has at most FEW of them, else in further rounds, each under a new leader,
-   until none is left. So no pair inside a group is listed that is already in one class, no bucket is
-   cut off, and no link between classes is lost.
+   band's key. At similarity 0.8 a pair meets in no band with probability (1 - 0.8**5)**20 < 4e-4. The
+   last two bytes of all samples are a text's sketch.
+3. Texts of one band bucket form a group. A bucket of more than MANY is divided by the other bands'
+   keys, and what is still larger by pairs of blocks, so a group is bounded and no pair is left out.
+   Within a group the share of equal sketch entries estimates a pair's similarity; a pair under
+   threshold - MARGIN (three deviations) is no candidate.
+4. Candidates are compared by the weighted Jaccard similarity of their whole texts. Pairs at or over the
+   threshold are links; connected components are classes. First each group sends the pairs of a
+   spanning forest that prefers high estimates; then the AGAIN best pairs of any two classes that meet
+   in a group; then whatever is left between different classes. Pairs already in one class are not
+   sent, so a group of n near copies costs about n pairs, and no link between classes is lost.
 
 Result: one row per input row with key, class_id (the least key of the class) and n_links (compared
 pairs of its text that are links). Nulls and empty texts have no shingles: they are copies of each
@@ -30,15 +33,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import U64, arrow, chunks, grams, mix, shelve, text_bytes, words
 
 SHINGLE, THRESHOLD = 5, 0.8
 IDF_BITS = 18
-BANDS, ROWS = 13, 3
-FEW = 32
+BANDS, ROWS = 20, 5
+MANY, MARGIN, AGAIN = 1_500, 0.12, 8
 _TABLE_BITS = 16
 
 
@@ -128,7 +131,9 @@ def _sign(idf: np.ndarray):
             keys = np.zeros((len(some), BANDS), U64)
             for r in range(ROWS):
                 keys = mix(keys + s[some].reshape(len(some), BANDS, ROWS)[:, :, r] + np.arange(BANDS, dtype=U64))
-            yield arrow(["uid", "bands"], [part.column(0).take(pa.array(some)), pa.ListArray.from_arrays(np.arange(len(some) + 1, dtype=np.int32) * BANDS, keys.view(np.int64).ravel())])
+            sketch = s[some].astype("<u2").tobytes()
+            width = 2 * BANDS * ROWS
+            yield arrow(["uid", "sketch", "bands"], [part.column(0).take(pa.array(some)), pa.array([sketch[i * width : (i + 1) * width] for i in range(len(some))], pa.binary()), pa.ListArray.from_arrays(np.arange(len(some) + 1, dtype=np.int32) * BANDS, keys.view(np.int64).ravel())])
 
     return run
 
@@ -169,6 +174,92 @@ def _compare(idf: np.ndarray):
     return run
 
 
+def group_pairs(comp: np.ndarray, sketch: np.ndarray, least: float, best: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of the candidates of one group, from different classes: best = 0: of a spanning forest; else the `best` of any two classes; -1: all."""
+    n = len(comp)
+    found, share = [], []
+    step = max(1, 4_000_000 // (n * sketch.shape[1]))
+    for at in range(0, n, step):
+        same = (sketch[at : at + step, None, :] == sketch[None, at + 1 :, :]).mean(axis=2)
+        i, j = np.nonzero(same >= least)
+        keep = (j + at + 1 > i + at) & (comp[i + at] != comp[j + at + 1])
+        found.append(np.stack([i[keep] + at, j[keep] + at + 1]))
+        share.append(same[i[keep], j[keep]])
+    (i, j), share = np.concatenate(found, axis=1), np.concatenate(share)
+    if best < 0 or len(i) < 2:
+        return i, j
+    order = np.argsort(-share, kind="stable")
+    i, j = i[order], j[order]
+    if best:
+        x, y = np.minimum(comp[i], comp[j]), np.maximum(comp[i], comp[j])
+        by = np.lexsort((np.arange(len(x)), y, x))
+        new = np.flatnonzero(np.concatenate([[True], (x[by][1:] != x[by][:-1]) | (y[by][1:] != y[by][:-1])]))
+        nth = np.arange(len(by)) - np.repeat(new, np.diff(np.append(new, len(by))))
+        return i[by[nth < best]], j[by[nth < best]]
+    root = {c: c for c in comp.tolist()}
+    taken = []
+    for k, (x, y) in enumerate(zip(comp[i].tolist(), comp[j].tolist(), strict=True)):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        while root[y] != y:
+            root[y] = y = root[root[y]]
+        if x != y:
+            root[x] = y
+            taken.append(k)
+    return i[taken], j[taken]
+
+
+def _candidates(least: float, best: int):
+    """Rows group, uid, comp, sketch, sorted by group: to candidate pairs a > b."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def emit(table: pa.Table, ends: np.ndarray) -> pa.RecordBatch:
+            uid, comp = table["uid"].to_numpy(), table["comp"].to_numpy()
+            sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), "<u2").reshape(len(uid), -1)
+            a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for x, y in zip(np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist(), strict=True):
+                if y - x > 1:
+                    i, j = group_pairs(comp[x:y], sketch[x:y], least, best)
+                    a.append(uid[x + i])
+                    b.append(uid[x + j])
+            a, b = np.concatenate(a), np.concatenate(b)
+            return arrow(["a", "b"], [np.maximum(a, b), np.minimum(a, b)])
+
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch])
+            group = table["group"].to_numpy()
+            ends = np.flatnonzero(group[1:] != group[:-1]) + 1
+            if len(ends):
+                yield emit(table.slice(0, int(ends[-1])), ends)
+                table = table.slice(int(ends[-1]))
+            rest = table
+        if rest is not None and rest.num_rows:
+            yield emit(rest, np.array([rest.num_rows]))
+
+    return run
+
+
+def groups_of(signed: DataFrame) -> DataFrame:
+    """(group, uid): the band buckets with two texts at least, larger ones divided."""
+
+    def sized(d: DataFrame) -> DataFrame:
+        return d.join(d.groupBy("group").agg(F.count("*").alias("m")).where("m > 1"), "group")
+
+    buckets = shelve(sized(signed.select("uid", F.explode("bands").alias("group"))))
+    small, large = buckets.where(F.col("m") <= MANY).select("group", "uid"), buckets.where(F.col("m") > MANY)
+    if large.isEmpty():
+        return small
+    parts = large.select("uid", F.col("group").alias("of")).join(signed, "uid").select("uid", "of", F.explode("bands").alias("band")).where("band != of")
+    parts = shelve(sized(parts.select("uid", F.xxhash64(F.least("of", "band"), F.greatest("of", "band")).alias("group")).distinct()))
+    block = F.pmod(F.xxhash64("uid"), F.ceil(F.col("m") / (MANY // 2)))
+    n_blocks = F.ceil(F.col("m") / (MANY // 2))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), n_blocks - 1)).alias("other")
+    tiles = parts.where(F.col("m") > MANY).select("group", "uid", block.alias("block"), other)
+    tiles = tiles.select(F.xxhash64("group", F.least("block", "other"), F.greatest("block", "other")).alias("group"), "uid")
+    return small.unionByName(parts.where(F.col("m") <= MANY).select("group", "uid")).unionByName(tiles)
+
+
 def inverse_frequencies(texts: DataFrame) -> np.ndarray:
     """1 + ln((N + 1) / (df + 1)) / ln(N + 1) of each of the 2**IDF_BITS buckets: a table of fixed size (1 MB).
 
@@ -211,41 +302,22 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, key: str = "doc
     first = shelve(member.groupBy("copy").agg(F.min("uid").alias("uid"), F.first("blank").alias("blank")))
     texts = rows.select("uid", "text").join(first.where("not blank").select("uid"), "uid", "left_semi")
     idf = inverse_frequencies(rows.select("text"))
-    signed = rows.select("uid", "text").mapInArrow(_sign(idf), "uid bigint, bands array<bigint>").join(first.select("uid"), "uid", "left_semi").dropDuplicates(["uid"])
-    exploded = signed.select("uid", F.posexplode("bands").alias("band", "bucket")).select("uid", "bucket")
-    exploded = shelve(exploded)
-    many = exploded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("uid").alias("leader")).where("n > 1")
-    state = shelve(exploded.join(many, "bucket").select("bucket", "uid", "leader"))  # who is in a bucket, and its leader
-    pairs = state.where("uid != leader").select(F.greatest("uid", "leader").alias("a"), F.least("uid", "leader").alias("b"))
-    compared, retired, distance = None, None, None  # (a, b, similarity); former leaders (bucket, uid); distance to the first (bucket, uid, d)
-    while True:
-        fresh = pairs.distinct()
+    signed = rows.select("uid", "text").mapInArrow(_sign(idf), "uid bigint, sketch binary, bands array<bigint>").join(first.select("uid"), "uid", "left_semi").dropDuplicates(["uid"])
+    signed = shelve(signed)
+    groups = shelve(groups_of(signed).distinct())
+    comp, compared, links = first.select("uid", F.col("uid").alias("comp")), None, None
+    for best in (0, AGAIN, -1):
+        if compared is not None:  # groups that lie in one class are done
+            mixed = groups.join(comp, "uid").groupBy("group").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("group")
+            groups = shelve(groups.join(mixed, "group", "left_semi"))
+        seen = groups.join(comp, "uid").join(signed.select("uid", "sketch"), "uid").select("group", "uid", "comp", "sketch")
+        pairs = seen.repartition("group").sortWithinPartitions("group").mapInArrow(_candidates(threshold - MARGIN, best), "a bigint, b bigint").distinct()
         if compared is not None:
-            fresh = fresh.join(compared, ["a", "b"], "left_anti")
-        fresh = shelve(compare_pairs(fresh, texts, idf))
+            pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
+        fresh = shelve(compare_pairs(pairs, texts, idf))
         compared = fresh if compared is None else shelve(compared.unionByName(fresh))
         links = compared.where(F.col("similarity") >= threshold)
         comp = shelve(components(links, first.select("uid")))
-        gone = state.where("uid = leader").select("bucket", "uid")
-        if distance is None:
-            at = state.select("bucket", "uid", F.greatest("uid", "leader").alias("a"), F.least("uid", "leader").alias("b"))
-            distance = shelve(at.join(compared, ["a", "b"], "left").select("bucket", "uid", F.coalesce(1 - F.col("similarity"), F.lit(0.0)).alias("d")))
-        retired = gone if retired is None else shelve(retired.unionByName(gone))
-        by_d = Window.partitionBy("bucket").orderBy("d", "uid")
-        open_ = distance.join(retired, ["bucket", "uid"], "left_anti").join(comp, "uid")
-        near = open_.withColumn("gap", F.col("d") - F.lag("d").over(by_d)).withColumn("other", F.lag("comp").over(by_d) != F.col("comp"))
-        unsettled = near.groupBy("bucket").agg(F.bool_or(F.col("other") & (F.col("gap") <= 1 - threshold + 1e-9)).alias("more"), F.count("*").alias("m")).where("more")
-        open_ = shelve(open_.join(unsettled.select("bucket", "m"), "bucket"))
-        if open_.isEmpty():
-            break
-        few, many = open_.where(F.col("m") <= FEW), open_.where(F.col("m") > FEW)
-        x, y = few.alias("x"), few.alias("y")
-        close = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.uid") > F.col("y.uid")) & (F.col("x.comp") != F.col("y.comp")) & (F.abs(F.col("x.d") - F.col("y.d")) <= 1 - threshold + 1e-9)
-        last = x.join(y, close).select(F.col("x.uid").alias("a"), F.col("y.uid").alias("b"))
-        leader = many.groupBy("bucket", "comp").agg(F.count("*").alias("n"), F.min("uid").alias("least")).groupBy("bucket").agg(F.min_by("least", F.struct("n", "least")).alias("leader"))
-        state = shelve(many.join(leader, "bucket").select("bucket", "uid", "leader"))
-        pairs = last.unionByName(state.where("uid != leader").select(F.greatest("uid", "leader").alias("a"), F.least("uid", "leader").alias("b")))
-        distance = shelve(distance.join(state.select("bucket").distinct(), "bucket", "left_semi"))
     ends = links.select(F.col("a").alias("uid")).unionAll(links.select(F.col("b").alias("uid"))).groupBy("uid").agg(F.count("*").alias("n_links"))
     of_copy = first.select("copy", "uid").join(comp, "uid").join(ends, "uid", "left").select("copy", "comp", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     placed = shelve(member.select("key", "copy").join(of_copy, "copy").select("key", "comp", "n_links"))

@@ -73,20 +73,21 @@ def test_classes_against_all_pairs(spark):
     assert [r.class_id for r in got if r.doc_id is None] == [want[20]]
 
 
-def test_a_bucket_that_holds_several_classes(spark, monkeypatch):
-    """One band of one sample: unlike texts meet, and the rounds have to sort them out."""
-    monkeypatch.setattr(near_dedup, "ROWS", 1)
-    monkeypatch.setattr(near_dedup, "BANDS", 12)
-    common = [f"c{i}" for i in range(60)]
+@pytest.mark.parametrize("many", [1_500, 4])
+def test_drifting_copies_and_divided_buckets(spark, monkeypatch, many):
+    """Copies of copies: members of a class are far from each other, and classes lie close together."""
+    monkeypatch.setattr(near_dedup, "MANY", many)
     rng = random.Random(1)
     rows = []
-    for g in range(6):
-        own = [f"g{g}w{i}" for i in range(60)]
-        for v in range(5):
-            t = common + own
-            for _ in range(v):
-                t[rng.randrange(120)] = f"e{len(rows)}x{v}"
-            rows.append((len(rows), " ".join(t)))
+    for _ in range(3):
+        family = [[f"w{rng.randrange(10**6)}" for _ in range(120)]]
+        for _ in range(25):
+            t = list(rng.choice(family))
+            for _ in range(rng.choice([0, 1, 2, 3, 4, 6])):
+                t[rng.randrange(120)] = f"w{rng.randrange(10**6)}"
+            family.append(t)
+        rows += [" ".join(t) for t in family]
+    rows = list(enumerate(rows))
     got = {r.doc_id: r.class_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == brute(spark, rows)
 
