@@ -35,7 +35,7 @@ from .common import U64, arrow, chunks
 MARK = "▁"
 SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Segments that a worker remembers; the older half is dropped when it is full.
-REMEMBERED = 800_000
+REMEMBERED = 450_000
 #: Longer segments have an agenda of their own.
 LONG = 40
 PAIR_BITS = 19
