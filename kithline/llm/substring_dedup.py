@@ -205,7 +205,8 @@ def remove_repeats(df: DataFrame, window: int = 35, key: str = "doc_id", text: s
         raise ValueError(f"a window has {GRAM + SPREAD} words at least")
     docs = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("uid", F.xxhash64("key", "text"))
     anchors = docs.select("uid", "text").mapInArrow(_emit_anchors(window), "anchor bigint, uid bigint, at int")
-    twice = anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n >= 2").select("anchor", (F.col("n") > HOT).alias("hot"))
+    # settled, so that the join below has a shuffle of its own on either side and Spark can divide a frequent anchor
+    twice = shelve(anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n >= 2").select("anchor", (F.col("n") > HOT).alias("hot")))
     places = anchors.join(twice, "anchor").select("uid", F.expr("if(hot, -at - 1, at)").alias("at"))
     by_text = places.groupBy("uid").agg(F.collect_set("at").alias("ats"))
     segments = docs.select("uid", "text").join(by_text, "uid").select("uid", "text", "ats").mapInArrow(_cut(window), "shard bigint, segment string, uid bigint, at int")
