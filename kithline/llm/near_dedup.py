@@ -11,17 +11,19 @@ the corpus.
    band's key. At similarity 0.8 a pair meets in no band with probability (1 - 0.8**5)**20 < 4e-4. The
    last two bytes of all samples are a text's sketch.
 3. Texts of one band bucket form a group. A bucket of more than MANY is divided by the other bands'
-   keys, and what is still larger by pairs of blocks, so a group is bounded and no pair is left out.
-   Within a group the share of equal sketch entries estimates a pair's similarity; a pair under
-   threshold - MARGIN (three deviations) is no candidate.
+   keys, and what is still larger by pairs of blocks, so a group is bounded (a pair in such a bucket
+   needs two bands in common: at similarity 0.8 it has them with probability 0.996). Within a group the
+   share of equal sketch entries estimates a pair's similarity; a pair under threshold - MARGIN (three
+   deviations) is no candidate.
 4. Candidates are compared by the weighted Jaccard similarity of their whole texts. Pairs at or over the
    threshold are links; connected components are classes. First each group sends the pairs of a
-   spanning forest that prefers high estimates; then the AGAIN best pairs of any two classes that meet
-   in a group; then whatever is left between different classes. Pairs already in one class are not
-   sent, so a group of n near copies costs about n pairs, and no link between classes is lost.
+   spanning forest that prefers high estimates, about n pairs for n near copies. Groups of three or more
+   in which classes still meet then get their members' texts and compare all candidates of different
+   classes at once, one text against many; only links between classes leave the group. So no pair
+   inside a class is listed, and no link between classes is lost.
 
-Result: one row per input row with key, class_id (the least key of the class) and n_links (compared
-pairs of its text that are links). Nulls and empty texts have no shingles: they are copies of each
+Result: one row per input row with key, class_id (the least key of the class) and n_links (links
+found at its text). Nulls and empty texts have no shingles: they are copies of each
 other and of nothing else. Repeated rows are copies. A row with a null key is compared like any other
 and takes the least key of its class that isn't null. Further columns are not carried.
 """
@@ -41,7 +43,7 @@ from .common import U64, arrow, chunks, grams, mix, shelve, text_bytes, words
 SHINGLE, THRESHOLD = 5, 0.8
 IDF_BITS = 18
 BANDS, ROWS = 20, 5
-MANY, MARGIN, AGAIN = 1_500, 0.12, 8
+MANY, MARGIN = 1_500, 0.12
 _TABLE_BITS = 16
 
 
@@ -174,31 +176,27 @@ def _compare(idf: np.ndarray):
     return run
 
 
-def group_pairs(comp: np.ndarray, sketch: np.ndarray, least: float, best: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places (i, j) of the candidates of one group, from different classes: best = 0: of a spanning forest; else the `best` of any two classes; -1: all."""
+def group_pairs(comp: np.ndarray, sketch: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, share of equal sketch entries) of the candidates of one group, from different classes, by i."""
     n = len(comp)
     found, share = [], []
     step = max(1, 4_000_000 // (n * sketch.shape[1]))
     for at in range(0, n, step):
         same = (sketch[at : at + step, None, :] == sketch[None, at + 1 :, :]).mean(axis=2)
         i, j = np.nonzero(same >= least)
-        keep = (j + at + 1 > i + at) & (comp[i + at] != comp[j + at + 1])
+        keep = (j + 1 > i) & (comp[i + at] != comp[j + at + 1])
         found.append(np.stack([i[keep] + at, j[keep] + at + 1]))
         share.append(same[i[keep], j[keep]])
-    (i, j), share = np.concatenate(found, axis=1), np.concatenate(share)
-    if best < 0 or len(i) < 2:
-        return i, j
-    order = np.argsort(-share, kind="stable")
-    i, j = i[order], j[order]
-    if best:
-        x, y = np.minimum(comp[i], comp[j]), np.maximum(comp[i], comp[j])
-        by = np.lexsort((np.arange(len(x)), y, x))
-        new = np.flatnonzero(np.concatenate([[True], (x[by][1:] != x[by][:-1]) | (y[by][1:] != y[by][:-1])]))
-        nth = np.arange(len(by)) - np.repeat(new, np.diff(np.append(new, len(by))))
-        return i[by[nth < best]], j[by[nth < best]]
+    i, j = np.concatenate(found, axis=1)
+    return i, j, np.concatenate(share)
+
+
+def forest(comp: np.ndarray, i: np.ndarray, j: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of a spanning forest of the classes that prefers high shares."""
     root = {c: c for c in comp.tolist()}
     taken = []
-    for k, (x, y) in enumerate(zip(comp[i].tolist(), comp[j].tolist(), strict=True)):
+    for k in np.argsort(-share, kind="stable").tolist():
+        x, y = int(comp[i[k]]), int(comp[j[k]])
         while root[x] != x:
             root[x] = x = root[root[x]]
         while root[y] != y:
@@ -209,8 +207,31 @@ def group_pairs(comp: np.ndarray, sketch: np.ndarray, least: float, best: int) -
     return i[taken], j[taken]
 
 
-def _candidates(least: float, best: int):
-    """Rows group, uid, comp, sketch, sorted by group: to candidate pairs a > b."""
+def one_to_many(texts: pa.Array, idf: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Weighted Jaccard similarity of the texts at i and j (by i)."""
+    row, h, count = shingles(*text_bytes(texts))
+    weight = (count * idf[_bucket(h)]).astype(np.float64)
+    at = np.searchsorted(row, np.arange(len(texts) + 1))
+    _, code = np.unique(h, return_inverse=True)
+    total = np.add.reduceat(np.append(weight, 0.0), np.minimum(at[:-1], len(weight))) * (np.diff(at) > 0)
+    mine, out = np.zeros(int(code.max()) + 1 if len(code) else 1), np.zeros(len(i))
+    for k in np.split(np.arange(len(i)), np.flatnonzero(np.diff(i)) + 1):
+        if not len(k):
+            continue
+        x = int(i[k[0]])
+        mine[code[at[x] : at[x + 1]]] = weight[at[x] : at[x + 1]]
+        size = at[j[k] + 1] - at[j[k]]
+        head = np.concatenate([[0], np.cumsum(size)])
+        place = np.arange(head[-1]) + np.repeat(at[j[k]] - head[:-1], size)
+        both = np.concatenate([[0.0], np.cumsum(np.minimum(weight[place], mine[code[place]]))])
+        low = both[head[1:]] - both[head[:-1]]
+        out[k] = low / np.maximum(total[x] + total[j[k]] - low, 1e-12)
+        mine[code[at[x] : at[x + 1]]] = 0
+    return out
+
+
+def _candidates(least: float, threshold: float, idf: np.ndarray | None):
+    """Rows group, uid, comp, sketch (and text), sorted by group: without texts to the pairs (a > b) of a forest, with them to links between classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def emit(table: pa.Table, ends: np.ndarray) -> pa.RecordBatch:
@@ -219,9 +240,15 @@ def _candidates(least: float, best: int):
             a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for x, y in zip(np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist(), strict=True):
                 if y - x > 1:
-                    i, j = group_pairs(comp[x:y], sketch[x:y], least, best)
-                    a.append(uid[x + i])
-                    b.append(uid[x + j])
+                    i, j, share = group_pairs(comp[x:y], sketch[x:y], least)
+                    if idf is not None and len(i):
+                        share = one_to_many(table["text"].slice(x, y - x), idf, i, j)
+                        linked = share >= threshold
+                        i, j, share = i[linked], j[linked], share[linked]
+                    if len(i):
+                        i, j = forest(comp[x:y], i, j, share)
+                        a.append(uid[x + i])
+                        b.append(uid[x + j])
             a, b = np.concatenate(a), np.concatenate(b)
             return arrow(["a", "b"], [np.maximum(a, b), np.minimum(a, b)])
 
@@ -305,18 +332,21 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, key: str = "doc
     signed = rows.select("uid", "text").mapInArrow(_sign(idf), "uid bigint, sketch binary, bands array<bigint>").join(first.select("uid"), "uid", "left_semi").dropDuplicates(["uid"])
     signed = shelve(signed)
     groups = shelve(groups_of(signed).distinct())
-    comp, compared, links = first.select("uid", F.col("uid").alias("comp")), None, None
-    for best in (0, AGAIN, -1):
-        if compared is not None:  # groups that lie in one class are done
-            mixed = groups.join(comp, "uid").groupBy("group").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("group")
-            groups = shelve(groups.join(mixed, "group", "left_semi"))
-        seen = groups.join(comp, "uid").join(signed.select("uid", "sketch"), "uid").select("group", "uid", "comp", "sketch")
-        pairs = seen.repartition("group").sortWithinPartitions("group").mapInArrow(_candidates(threshold - MARGIN, best), "a bigint, b bigint").distinct()
-        if compared is not None:
-            pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        fresh = shelve(compare_pairs(pairs, texts, idf))
-        compared = fresh if compared is None else shelve(compared.unionByName(fresh))
-        links = compared.where(F.col("similarity") >= threshold)
+    comp = first.select("uid", F.col("uid").alias("comp"))
+
+    def of_groups(groups: DataFrame, comp: DataFrame, texts: DataFrame | None) -> DataFrame:
+        seen = groups.join(comp, "uid").join(signed.select("uid", "sketch"), "uid")
+        seen = seen if texts is None else seen.join(texts, "uid")
+        seen = seen.select("group", "uid", "comp", "sketch", *([] if texts is None else ["text"])).repartition("group").sortWithinPartitions("group")
+        return seen.mapInArrow(_candidates(threshold - MARGIN, threshold, None if texts is None else idf), "a bigint, b bigint").distinct()
+
+    compared = compare_pairs(of_groups(groups, comp, None), texts, idf)
+    links = shelve(compared.where(F.col("similarity") >= threshold).select("a", "b"))
+    comp = shelve(components(links, first.select("uid")))
+    mixed = groups.join(comp, "uid").groupBy("group").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("m")).where("x < y AND m > 2").select("group")
+    more = shelve(of_groups(groups.join(mixed, "group", "left_semi"), comp, texts.dropDuplicates(["uid"])))
+    if not more.isEmpty():
+        links = links.unionByName(more).distinct()
         comp = shelve(components(links, first.select("uid")))
     ends = links.select(F.col("a").alias("uid")).unionAll(links.select(F.col("b").alias("uid"))).groupBy("uid").agg(F.count("*").alias("n_links"))
     of_copy = first.select("copy", "uid").join(comp, "uid").join(ends, "uid", "left").select("copy", "comp", F.coalesce("n_links", F.lit(0)).alias("n_links"))
