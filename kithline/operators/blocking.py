@@ -59,6 +59,11 @@ def scores(queries: DataFrame, corpus: DataFrame, share: float = 0.01, cap: int
     """(s1_id, cand_id, score): 3 for any rare name token, 0.2 a trigram, 2 an address token, 10 a postal code."""
     each = [hits(queries, corpus, s, share, cap).select("s1_id", "cand_id", F.lit(s.name).alias("signal"), "n") for s in (TOKEN, NGRAM, ADDRESS, POSTAL)]
     rows = each[0].unionByName(each[1]).unionByName(each[2]).unionByName(each[3])
+    return score_hits(rows, min_ngrams, min_address)
+
+
+def score_hits(rows: DataFrame, min_ngrams: int = 3, min_address: int = 1) -> DataFrame:
+    """(s1_id, cand_id, score) from (s1_id, cand_id, signal, n). One expression in one order, so equal counts give equal doubles."""
     of = lambda name: F.coalesce(F.sum(F.when(F.col("signal") == name, F.col("n"))), F.lit(0)).alias(name)
     pairs = rows.groupBy("s1_id", "cand_id").agg(*[of(s.name) for s in (TOKEN, NGRAM, ADDRESS, POSTAL)])
     ngram, address = F.col("ngram") >= min_ngrams, (F.col("address") >= min_address) & (F.col("address") > 0)
