@@ -2,17 +2,19 @@
 
 A word is a run of 0-9, a-z and characters from U+0080 on, once A-Z are lower-cased.
 
-1. One pass cuts each text into words and keeps those of the templates and phrases, with positions.
-2. The document frequencies of these words (a fixed list) give their inverse document frequencies.
-   The RAREST of them that a file has are looked up in the templates' postings; postings that give the
-   same relative position vote for that alignment of file and template.
-3. An alignment with VOTES votes (or all that its template could give) is verified: all words of one of
-   the template's mandatory key phrases must stand at their places. The template's label is then given,
-   with the share of the template's words that stand at theirs as the score.
+1. One pass cuts each text into words and keeps the places of those that a template or phrase has, as
+   one number each (place and word).
+2. The document frequencies of these words (a fixed list) give their inverse document frequencies; the
+   index holds the postings of the RAREST highest-weighted words of each template's mandatory key
+   phrases. The words of the index that a file has are looked up; postings that give the same relative
+   position vote for that alignment of file and template.
+3. An alignment for which all postings of its template vote is verified: all words of the mandatory key
+   phrases must stand at their places. The template's label is then given, with the share of the
+   template's words that stand at theirs as the score.
 4. Base labels: every place where a phrase's words stand consecutively.
 
-Only a file's licence words leave its task, joins are on (file, position), and votes are added up
-before the shuffle; so neither a file full of licences nor a common licence fills a task.
+Only a file's licence words leave its task, joins are on (file, place), and votes are added up before
+the shuffle; so neither a file full of licences nor a common licence fills a task.
 
 Defined cases: a null text has no words; a file without a phrase has null first_word and last_word, an
 empty list of labels and score 0; repeated rows are scanned one by one; further columns are not carried.
@@ -30,7 +32,9 @@ from .common import shelve
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-RAREST, VOTES = 12, 3
+RAREST = 5
+#: A place and a word of the list in one number: place * WORDS + word.
+WORDS = 256
 
 # Phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -70,51 +74,59 @@ def postings(templates: list[tuple[str, str, list[str]]]) -> list[tuple[str, int
     return out
 
 
-def _places(hits: Column, phrase: list[str]) -> Column:
-    """Positions in hits (pos, word) where phrase stands consecutively."""
-    at = F.transform(hits, lambda x, i: F.struct(x["pos"].alias("pos"), x["word"].alias("word"), i.alias("i")))
+def _places(hits: Column, phrase: list[int]) -> Column:
+    """Places in hits where the words of phrase stand consecutively."""
+    at = F.transform(hits, lambda x, i: F.struct(x.alias("x"), i.alias("i")))
 
-    def stands(x: Column) -> Column:
-        ok = x["word"] == phrase[0]
+    def stands(h: Column) -> Column:
+        ok = h["x"] % WORDS == phrase[0]
         for k, w in enumerate(phrase[1:], 1):
-            later = F.get(hits, x["i"] + k)
-            ok = ok & F.coalesce((later["word"] == w) & (later["pos"] == x["pos"] + k), F.lit(False))
+            ok = ok & F.coalesce(F.get(hits, h["i"] + k) == h["x"] + (k * WORDS + w - phrase[0]), F.lit(False))
         return ok
 
-    return F.transform(F.filter(at, stands), lambda x: x["pos"])
+    return F.transform(F.filter(at, stands), lambda h: F.floor(h["x"] / WORDS))
 
 
 def scan(df: DataFrame, key: str = "doc_id", text: str = "text", phrases: dict[str, str] | None = None, templates: list[tuple[str, str, list[str]]] | None = None) -> DataFrame:
     """key, n_words, n_base, first_word, last_word, base_labels, labels and score of every row."""
     phrases, index = phrases or PHRASES, postings(TEMPLATES if templates is None else templates)
     spark = df.sparkSession
-    known = sorted({w for p in phrases for w in cut(p)} | {x[2] for x in index})
+    known = {w: i for i, w in enumerate(sorted({w for p in phrases for w in cut(p)} | {x[2] for x in index}))}
+    if len(known) > WORDS:
+        raise ValueError(f"templates and phrases have more than {WORDS} words")
     words = F.regexp_extract_all(F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
     rows = df.select(F.col(key).alias("key"), F.monotonically_increasing_id().alias("row"), words.alias("words"))
-    hits = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("pos"), w.alias("word"))), lambda x: x["word"].isin(known))
+    number = F.create_map(*[F.lit(x) for p in known.items() for x in p])
+    met = F.filter(F.transform("words", lambda w, i: F.struct(i.cast("bigint").alias("at"), w.alias("word"))), lambda x: x["word"].isin(list(known)))
+    hits = F.transform(met, lambda x: x["at"] * WORDS + F.element_at(number, x["word"]))
     rows = shelve(rows.select("key", "row", F.size("words").cast("bigint").alias("n_words"), hits.alias("hits")))
 
     n = rows.count()
-    seen = rows.select(F.explode(F.array_distinct(F.col("hits.word"))).alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()  # a row a known word at most
-    idf = {r.word: math.log((n + 1) / (r.n + 1)) + 1 for r in seen}
-    weight = F.create_map(*[F.lit(x) for w in known for x in (w, float(idf.get(w, math.log(n + 1) + 1)))])
-
-    post = spark.createDataFrame(index, "label string, at int, word string, needed boolean, size int, n_needed int")
-    indexed = sorted({x[2] for x in index})
-    some = rows.where(F.size("hits") > 0).select("row", F.filter("hits", lambda x: x["word"].isin(indexed)).alias("hits"))
-    ranked = F.array_sort(F.transform(F.array_distinct(F.col("hits.word")), lambda w: F.struct((-F.element_at(weight, w)).alias("by"), w.alias("word"))))
-    rarest = F.transform(F.slice(ranked, 1, RAREST), lambda x: x["word"])
-    looked = some.select("row", rarest.alias("rarest"), "hits").select("row", F.inline(F.filter("hits", lambda x: F.array_contains("rarest", x["word"]))))
-    votes = looked.join(F.broadcast(post), "word").groupBy("row", "label", (F.col("pos") - F.col("at")).alias("offset")).agg(F.count("*").alias("votes"), F.first("size").alias("size"))
-    lined = votes.where(F.col("votes") >= F.least(F.lit(VOTES), F.col("size"))).select("row", "label", "offset")
-    wanted = lined.join(F.broadcast(post), "label").select("row", "label", "offset", (F.col("offset") + F.col("at")).alias("pos"), "word", "needed", "size", "n_needed")
-    all_hits = some.select("row", F.inline("hits"))
-    stood = wanted.join(all_hits, ["row", "pos", "word"]).groupBy("row", "label", "offset").agg(
+    seen = rows.select(F.explode(F.array_distinct(F.transform("hits", lambda x: x % WORDS))).alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()  # a row a known word at most
+    idf = {r.word: math.log((n + 1) / (r.n + 1)) for r in seen}
+    numbered = [(label, at, known[w], needed, size, n_needed) for label, at, w, needed, size, n_needed in index]
+    rare = set()
+    for label in dict.fromkeys(x[0] for x in numbered):
+        own = sorted({x[2] for x in numbered if x[0] == label and x[3]}, key=lambda w: (-idf.get(w, math.log(n + 1)), w))
+        rare |= {(label, w) for w in own[:RAREST]}
+    schema = "label string, at int, word int, needed boolean, size int, n_needed int"
+    post = spark.createDataFrame(numbered, schema)
+    indexed = [x for x in numbered if x[3] and (x[0], x[2]) in rare]
+    lookup = spark.createDataFrame(indexed, schema).join(F.broadcast(spark.createDataFrame(indexed, schema).groupBy("label").agg(F.count("*").alias("could"))), "label")
+    rare_words = sorted({w for _, w in rare})
+
+    some = rows.select("row", F.filter("hits", lambda x: (x % WORDS).isin(rare_words)).alias("own"), "hits").where(F.size("own") > 0)
+    looked = some.select("row", F.explode("own").alias("x")).select("row", F.floor(F.col("x") / WORDS).alias("pos"), (F.col("x") % WORDS).cast("int").alias("word"))
+    votes = looked.join(F.broadcast(lookup.select("label", "at", "word", "could")), "word").groupBy("row", "label", (F.col("pos") - F.col("at")).alias("offset")).agg(F.count("*").alias("votes"), F.first("could").alias("could"))
+    lined = shelve(votes.where(F.col("votes") == F.col("could")).select("row", "label", "offset"))
+    wanted = lined.join(F.broadcast(post), "label").select("row", "label", "offset", ((F.col("offset") + F.col("at")) * WORDS + F.col("word")).alias("x"), "needed", "size", "n_needed")
+    all_hits = some.select("row", "hits").join(lined.select("row").distinct(), "row", "left_semi").select("row", F.explode("hits").alias("x"))
+    stood = wanted.join(all_hits, ["row", "x"]).groupBy("row", "label", "offset").agg(
         F.count("*").alias("n"), F.sum(F.col("needed").cast("int")).alias("ok"), F.first("size").alias("size"), F.first("n_needed").alias("n_needed")
     )
     verified = stood.where("ok = n_needed").groupBy("row").agg(F.collect_set("label").alias("found"), F.max(F.col("n") / F.col("size")).alias("score"))
 
-    places = {p: _places(F.col("hits"), cut(p)) for p in phrases}
+    places = {p: _places(F.col("hits"), [known[w] for w in cut(p)]) for p in phrases}
     base = rows.withColumns({f"p{i}": c for i, c in enumerate(places.values())})
     starts = F.concat(*[f"p{i}" for i in range(len(phrases))])
     given = F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.when(F.size(f"p{i}") > 0, F.lit(label)) for i, label in enumerate(phrases.values())]))))
