@@ -114,19 +114,28 @@ class Codec:
             at = (keys.astype(U64) * odd >> U64(64 - PAIR_BITS)).astype(np.int64)
             held, value = np.full(1 << PAIR_BITS, -1, np.int64), np.full(1 << PAIR_BITS, NONE, np.int32)
             held[at], value[at] = keys, ranks
-            self.tables.append((odd, held, value))
             left_out = held[at] != keys
+            shared = np.zeros(1 << PAIR_BITS, bool)  # places whose other pairs are in the next table
+            shared[at[left_out]] = True
+            self.tables.append((odd, held, value, shared))
             keys, ranks = keys[left_out], ranks[left_out]
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, NONE if it can't be merged."""
-        key = left << 21 | right
-        out = np.full(key.shape, NONE, np.int32)
-        for odd, held, value in self.tables:
-            at = (key.astype(U64) * odd >> U64(64 - PAIR_BITS)).astype(np.int64)
-            hit = held[at] == key
-            out[hit] = value[at[hit]]
-        return out
+        key = (left << 21 | right).ravel()
+        out = np.full(len(key), NONE, np.int32)
+        todo = None
+        for odd, held, value, shared in self.tables:
+            k = key if todo is None else key[todo]
+            at = (k.view(U64) * odd >> U64(64 - PAIR_BITS)).view(np.int64)
+            hit = held[at] == k
+            here = np.flatnonzero(hit)
+            out[here if todo is None else todo[here]] = value[at[here]]
+            more = np.flatnonzero(~hit & shared[at])
+            if not len(more):
+                break
+            todo = more if todo is None else todo[more]
+        return out.reshape(left.shape)
 
     def merge_rows(self, segments: list[str]) -> list[list[int]]:
         """Ids of segments of one length, their agendas side by side."""
