@@ -79,6 +79,17 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+OP8_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+win AS (SELECT doc_id, i, list_slice(w, i, i + 34) AS g FROM (SELECT doc_id, w, unnest(range(1, length(w) - 33)) AS i FROM d)),
+rep AS (SELECT g FROM win GROUP BY g HAVING count(*) > 1),
+cov AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM win JOIN rep USING (g)),
+pos AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, length(w) + 1)) AS p FROM d),
+k AS (SELECT doc_id, array_to_string(list(x ORDER BY p), ' ') AS kept, count(*) AS n FROM pos ANTI JOIN cov USING (doc_id, p) GROUP BY 1)
+SELECT doc_id, length(w)::BIGINT AS n_words, (length(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)
+"""
+
+
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five highest integer inner products of every fiftieth vector with all others."""
     from .top_k import exact_top_k
@@ -108,6 +119,33 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def _op6_sql() -> str:
+    """The phrases and templates as tables, found by comparing slices of each text's words."""
+    from .license_scan import LOWER, PHRASES, TEMPLATES, UPPER, cut
+
+    quoted = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+    phrases = ", ".join(f"({quoted(cut(p))}, '{label}')" for p, label in PHRASES.items())
+    templates = []
+    for label, text, keys in TEMPLATES:
+        t = cut(text)
+        (k,) = map(cut, keys)
+        start = next(i for i in range(len(t)) if t[i : i + len(k)] == k)
+        templates.append(f"('{label}', {quoted(t)}, {quoted(k)}, {start})")
+    return f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+ph(p, label) AS (VALUES {phrases}), tp(label, t, p, start) AS (VALUES {", ".join(templates)}),
+o AS (SELECT doc_id, w, unnest(range(1, length(w) + 1)) AS i FROM d WHERE list_has_any(w, (SELECT list(p[1]) FROM (SELECT p FROM ph UNION ALL SELECT p FROM tp)))),
+b AS (SELECT doc_id, count(*) AS n, min(i) - 1 AS a, max(i) - 1 AS z, list(DISTINCT label) AS l FROM o JOIN ph ON w[i] = p[1] AND list_slice(w, i, i + length(p) - 1) = p GROUP BY 1),
+m AS (SELECT doc_id, label, length(list_filter(range(1, length(t) + 1), lambda k: i - start - 1 + k >= 1 AND w[i - start - 1 + k] = t[k]))::DOUBLE / length(t) AS s
+      FROM o JOIN tp ON w[i] = p[1] AND list_slice(w, i, i + length(p) - 1) = p),
+g AS (SELECT doc_id, max(s) AS s, list(DISTINCT label) AS l FROM m GROUP BY 1)
+SELECT d.doc_id, length(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, a::BIGINT AS first_word, z::BIGINT AS last_word,
+       coalesce(array_to_string(list_sort(b.l), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.l, []), coalesce(g.l, [])))), ','), '') AS labels, coalesce(s, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN b USING (doc_id) LEFT JOIN g USING (doc_id)
+"""
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text as ids and back, as digests."""
     import public_tokenizers
@@ -130,4 +168,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_url_filter, op3_lm_scoring, op4_media_columns, op5_near_duplicates, op6_license_scan, op7_sentencepiece, op8_substring_dedup, op9_exact_top_k, op10_mixing)
 }
 
-ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op9_exact_top_k": OP9_SQL}
+ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op6_license_scan": _op6_sql(), "op8_substring_dedup": OP8_SQL, "op9_exact_top_k": OP9_SQL}
