@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 GRID = [float(x) for x in np.arange(0.05, 0.96, 0.01)]
@@ -44,16 +44,14 @@ def threshold_sweep(scored: DataFrame, truth: DataFrame, grid: list[float] = GRI
     scored: (s1_id, cand_id, score); truth: (s1_id, cand_id), both distinct. A pair counts for all
     thresholds up to its own place in the grid: counts per (record, place) are added up from the top.
     """
-    records = scored.select("s1_id").distinct()
-    true = records.join(truth.groupBy("s1_id").agg(F.count("*").alias("true")), "s1_id", "left").withColumn("true", F.coalesce("true", F.lit(0)))
     place = F.size(F.filter(F.array(*map(F.lit, grid)), lambda t: t <= F.col("score")))
     hit = truth.select("s1_id", "cand_id").withColumn("hit", F.lit(1))
-    counts = scored.join(hit, ["s1_id", "cand_id"], "left").withColumn("place", place).where("place > 0")
-    counts = counts.groupBy("s1_id", "place").agg(F.count("*").alias("n"), F.count("hit").alias("ok"))
-    every = true.select("s1_id", "true", F.explode(F.sequence(F.lit(1), F.lit(len(grid)))).alias("place")).join(counts, ["s1_id", "place"], "left")
-    above = Window.partitionBy("s1_id").orderBy(F.desc("place")).rowsBetween(Window.unboundedPreceding, 0)
-    given, found = F.coalesce(F.sum("n").over(above), F.lit(0)), F.coalesce(F.sum("ok").over(above), F.lit(0))
-    one = every.select("place", set_score(found, given, F.col("true")).alias("f"))
+    counts = scored.join(hit, ["s1_id", "cand_id"], "left").groupBy("s1_id", place.alias("place")).agg(F.count("*").alias("n"), F.count("hit").alias("ok"))
+    records = counts.groupBy("s1_id").agg(F.collect_list(F.struct("place", "n", "ok")).alias("at"))  # at most a row a grid value
+    true = records.join(truth.groupBy("s1_id").agg(F.count("*").alias("true")), "s1_id", "left").withColumn("true", F.coalesce("true", F.lit(0)))
+    every = true.select("at", "true", F.explode(F.sequence(F.lit(1), F.lit(len(grid)))).alias("place"))
+    above = lambda c: F.aggregate("at", F.lit(0).cast("bigint"), lambda sum_, x: sum_ + F.when(x["place"] >= F.col("place"), x[c]).otherwise(0))
+    one = every.select("place", set_score(above("ok"), above("n"), F.col("true")).alias("f"))
     at = F.element_at(F.array(*map(F.lit, grid)), F.col("place"))
     return one.groupBy("place").agg(F.round(F.avg("f"), 9).alias("f05")).select(at.alias("threshold"), "f05")
 
