@@ -100,3 +100,15 @@ def test_query_on_the_whole_table(spark, sf_dir):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     got = {r.doc_id: r.class_id for r in op5_near_duplicates(spark, sf_dir).collect()}
     assert got == brute(spark, docs)
+
+
+def test_one_text_against_many_gives_the_same_similarities():
+    rng = random.Random(9)
+    texts = ["", "a b", "a b"] + [" ".join(rng.choice("abcd") for _ in range(rng.randint(3, 60))) for _ in range(30)]
+    idf = np.linspace(1, 2, 1 << near_dedup.IDF_BITS).astype(np.float32)
+    row, h, c = shingles(*text_bytes(pa.array(texts)))
+    w = (c * idf[near_dedup._bucket(h)]).astype(np.float64)
+    sets = [(h[row == i], w[row == i]) for i in range(len(texts))]
+    i, j = np.triu_indices(len(texts), 1)
+    got = near_dedup.one_to_many(pa.array(texts), idf, i, j)
+    assert got == pytest.approx([similarity(sets[x], sets[y]) for x, y in zip(i, j, strict=True)], abs=1e-9)
