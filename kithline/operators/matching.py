@@ -10,7 +10,7 @@ import json
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -41,7 +41,21 @@ class Matcher:
         return Matcher(PipelineModel.load(f"{path}/model"), kept["features"], kept["threshold"])
 
 
-def fit(pairs: DataFrame, truth: DataFrame, features: list[str], rounds: int = 40, depth: int = 6, validation: float = 0.2, seed: int = 42) -> tuple[Matcher, DataFrame]:
+def _estimator(backend: str, rounds: int, depth: int, seed: int):
+    if backend == "gbt":
+        return GBTClassifier(
+            maxIter=rounds, maxDepth=depth, stepSize=0.05, minInstancesPerNode=20, subsamplingRate=0.8, featureSubsetStrategy="0.9", seed=seed, weightCol="weight", validationIndicatorCol="held"
+        )
+    if backend == "forest":
+        return RandomForestClassifier(numTrees=rounds, maxDepth=depth, minInstancesPerNode=20, subsamplingRate=0.8, seed=seed, weightCol="weight")
+    if backend == "logistic":
+        return LogisticRegression(maxIter=rounds, weightCol="weight")
+    raise ValueError("backend is gbt, forest or logistic")
+
+
+def fit(
+    pairs: DataFrame, truth: DataFrame, features: list[str], rounds: int = 40, depth: int = 6, validation: float = 0.2, seed: int = 42, backend: str = "gbt"
+) -> tuple[Matcher, DataFrame]:
     """(matcher, threshold sweep on the held-out records). pairs: s1_id, cand_id, label and features; truth: (s1_id, cand_id)."""
     held = in_validation("s1_id", validation, seed)
     rows = pairs.na.fill(0.0, features).withColumn("held", held).persist()  # boosting reads it once a round
@@ -50,10 +64,9 @@ def fit(pairs: DataFrame, truth: DataFrame, features: list[str], rounds: int = 4
         weight = classes.get(0, 0) / max(classes.get(1, 0), 1)
         rows_w = rows.withColumn("weight", F.when(F.col("label") == 1, max(weight, 1e-6)).otherwise(1.0)).withColumn("label", F.col("label").cast("double"))
         assembler = VectorAssembler(inputCols=features, outputCol="features")
-        trees = GBTClassifier(
-            maxIter=rounds, maxDepth=depth, stepSize=0.05, minInstancesPerNode=20, subsamplingRate=0.8, featureSubsetStrategy="0.9", seed=seed, weightCol="weight", validationIndicatorCol="held"
-        )
-        model = PipelineModel([assembler, trees.fit(assembler.transform(rows_w))])
+        learner = _estimator(backend, rounds, depth, seed)
+        lessons = rows_w if backend == "gbt" else rows_w.where("not held")  # boosting needs the held-out rows to know when to stop
+        model = PipelineModel([assembler, learner.fit(assembler.transform(lessons))])
         matcher = Matcher(model, features, 0.5)
         scored = matcher.score(rows.where("held").select("s1_id", "cand_id", *features)).select("s1_id", "cand_id", "score")
         sweep = threshold_sweep(scored, truth)

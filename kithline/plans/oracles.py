@@ -257,5 +257,8 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'unexpected', count(*) FROM ls WHERE source1_entity_id NOT IN (SELECT entity_id FROM s1) UNION ALL SELECT 'duplicates', count(*) - count(DISTINCT source1_entity_id) FROM ls
       UNION ALL SELECT 'empty_rows', count(*) FILTER (length(ids) = 0) FROM ls UNION ALL SELECT 'rows_with_unknown_ids', count(DISTINCT source1_entity_id) FROM (SELECT source1_entity_id, unnest(ids) AS id FROM ls) WHERE id NOT IN (SELECT entity_id FROM co)
       UNION ALL SELECT 'rows_with_repeated_ids', count(*) FILTER (length(list_distinct(ids)) < length(ids)) FROM ls UNION ALL SELECT 'candidates', coalesce(sum(length(ids)), 0)::BIGINT FROM ls""",
+    "sample_records": f"WITH {RECORDS} SELECT entity_id, country FROM rec WHERE country = 'France' ORDER BY md5('1|' || entity_id), entity_id LIMIT 5",
+    "inspect_candidates": f"WITH {LISTS} SELECT entity_id, country, length(ids)::INTEGER AS n_candidates FROM s1 JOIN ls ON source1_entity_id = entity_id",
+    "matched_counts": f"WITH {SURROGATE}, {TRUTH}, m AS ({_assembled('(SELECT * FROM su WHERE score >= 0.1)')}) SELECT count(*) AS records, count(*) FILTER (matched_entity_ids <> '') AS matched FROM m",
     "unknown_candidates": f"WITH {SCORES} SELECT cand_id, s1_id FROM few WHERE NOT starts_with(cand_id, 'S2-')",
 }

@@ -13,6 +13,7 @@ from ..functions import similarity as S
 from ..operators import blocking as B
 from ..operators import evaluation as E
 from ..operators import features as X
+from ..operators import inspect as I
 from ..operators import labels as L
 from ..operators import matching as M
 from ..operators import validate as V
@@ -22,10 +23,6 @@ from . import fixtures as fx
 FEW, KEPT = 3, 50
 
 
-def _joined(c: str):
-    return F.array_join(F.array_sort(c), "|")
-
-
 def norm_name(spark, d):
     r = N.clean_records(fx.records(spark, d))
     return r.select("entity_id", "business_name_clean", "business_name_core", "business_name_blockkey", "legal_suffix")
@@ -246,6 +243,19 @@ def validate_candidates(spark, d):
     return V.validate_lists(lists, s1, corpus)
 
 
+def sample_records(spark, d):
+    return I.sample_rows(fx.records(spark, d), "France").select("entity_id", "country")
+
+
+def inspect_candidates(spark, d):
+    s1, _, lists = _lists(spark, d)
+    return I.beside_candidates(s1.select("entity_id", "country"), lists).select("entity_id", "country", "n_candidates")
+
+
+def matched_counts(spark, d):
+    return I.matched_counts(matches_assemble(spark, d))
+
+
 def unknown_candidates(spark, d):
     """Candidates that a corpus without its S3 half does not know."""
     _, corpus = fx.sources(spark, d)
@@ -269,6 +279,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         norm_name, norm_addr, postal_extract, norm_raw, norm_country, tokens, trigrams, padded_ngrams, inverted_index_pruned, block_token, block_ngram,
         block_scores, candidates_topk, candidate_lists, blocking_recall, label_pairs, missed_truth, truth_lists, truth_pairs, neg_budget, neg_sample, group_split,
         jaccard, ngram_sim, lcs_ratio, osa_ratio, token_sort_ratio, pair_flags, set_extensions, features_clean, features_raw, record_lookup, macro_f05,
-        threshold_sweep, match_cap, matches_assemble, validate_candidates, unknown_candidates, model_fit_predict,
+        threshold_sweep, match_cap, matches_assemble, validate_candidates, unknown_candidates, sample_records, inspect_candidates, matched_counts, model_fit_predict,
     )
 } | {"block_addr": _hits(B.ADDRESS), "block_postal": _hits(B.POSTAL)}

@@ -161,3 +161,15 @@ def test_command_line_from_raw_files_to_results(spark, sf_dir, tmp_path, capsys)
     loaded = M.Matcher.load(spark, model)
     assert loaded.features == X.CLEAN_FEATURES
     assert "recall" in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("backend", ["gbt", "forest", "logistic"])
+def test_a_matcher_learns_what_tells_pairs_apart(spark, backend):
+    rows = [(f"S1-{i}", f"S2-{i}-{j}", int(j == 0), 0.9 - 0.001 * (i % 7) if j == 0 else 0.1 * j, float(i % 3)) for i in range(150) for j in range(4)]
+    pairs = spark.createDataFrame(rows, "s1_id string, cand_id string, label int, a double, b double")
+    truth = pairs.where("label = 1").select("s1_id", "cand_id")
+    matcher, sweep = M.fit(pairs, truth, ["a", "b"], rounds=5, depth=3, backend=backend)
+    made = M.predict(matcher, pairs, pairs.select(F.col("s1_id").alias("entity_id")).distinct())
+    lists = truth.select(F.col("s1_id").alias("source1_entity_id"), F.col("cand_id").alias("matched_entity_ids"))
+    assert E.macro_f05(made, lists).first()[0] > 0.95
+    assert sweep.count() == 91
