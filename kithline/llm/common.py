@@ -6,10 +6,13 @@ UTF-8 bytes of a whole Arrow batch at once, so that no Python object is made for
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -42,6 +45,28 @@ def shelve(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_KEPT: dict[str, Callable[[], object]] = {}
+_AT_WORK = [""]
+
+
+def keep(owner: str, drop: Callable[[], object]) -> None:
+    """Say how to drop what an operator keeps in a Python worker between tasks."""
+    _KEPT[owner] = drop
+
+
+def at_work(owner: str) -> None:
+    """Called where an operator begins in a worker: what others have kept there, in a session of many steps, goes."""
+    gc.enable()
+    if _AT_WORK[0] not in ("", owner):
+        for name, drop in _KEPT.items():
+            if name != owner:
+                drop()
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+    _AT_WORK[0] = owner
+
+
 def text_bytes(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and the n + 1 offsets of its rows; a null is an empty text."""
     if isinstance(col, pa.ChunkedArray):

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, arrow, chunks, shelve, text_bytes
+from .common import U64, arrow, at_work, chunks, shelve, text_bytes
 
 BUCKET_BITS, TEMPER, STRENGTH = 14, 0.1, 20.0
 #: Languages that a model may have: it is 2**BUCKET_BITS numbers for each, and is sent to the tasks.
@@ -49,6 +49,7 @@ def _trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each task: how often each language has each bucket."""
+    at_work("language_id")
     counts: dict[str, np.ndarray] = {}
     for part in chunks(batches):
         bucket, row = _trigrams(*text_bytes(part.column(0)))
@@ -78,6 +79,7 @@ def text_model(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
 
 def _likelihoods(model: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("language_id")
         for part in chunks(batches):
             data, offsets = text_bytes(part.column(part.num_columns - 1))
             bucket, row = _trigrams(data, offsets)

@@ -20,6 +20,7 @@ from __future__ import annotations
 import gc
 import heapq
 import re
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -30,12 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, arrow, chunks
+from .common import U64, arrow, at_work, chunks, keep
 
 MARK = "▁"
 SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Segments that a worker remembers; the older half is dropped when it is full.
-REMEMBERED = 450_000
+REMEMBERED = 300_000
 #: Longer segments have an agenda of their own.
 LONG = 40
 PAIR_BITS = 19
@@ -57,8 +58,10 @@ class Codec:
         self.fallback = all(map(lib.is_byte, self.bytes))
         self.split = not any(MARK in p.lstrip(MARK) for p in self.ids)
         self._arrays()
-        self.young: dict[str, tuple[tuple[int, ...], str]] = {}
-        self.old: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.kind = "H" if len(lib) <= 1 << 16 else "I"
+        self.decimal = [str(i) for i in range(len(lib))]
+        self.young: dict[str, bytes] = {}  # ids of remembered segments
+        self.old: dict[str, bytes] = {}
 
     def merge(self, segment: str) -> list[int]:
         """Ids of one segment by the agenda."""
@@ -203,12 +206,12 @@ class Codec:
             s, ours, wanted = next(x for x in zip(asked, made, theirs, strict=True) if x[1] != x[2])
             raise ValueError(f"the agenda gives {ours} for {s!r}, the library {wanted}")
         for s, ours in zip(asked, made, strict=True):
-            self.young[s] = tuple(ours), ",".join(map(str, ours))
+            self.young[s] = array(self.kind, ours).tobytes()
         if len(asked) < len(new):
-            self.young[MARK] = tuple(ours := self.merge(MARK)), ",".join(map(str, ours))
+            self.young[MARK] = array(self.kind, self.merge(MARK)).tobytes()
 
-    def encode_batch(self, texts: list[str]) -> list[tuple[list[int], str]]:
-        """(ids, their decimals joined by commas) of each text."""
+    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
         if len(self.young) > REMEMBERED // 2:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
@@ -221,12 +224,9 @@ class Codec:
                 else:
                     new.append(s)
         self.learn(new)
-        out = []
-        for segs in cut:
-            found = [young[s] for s in segs]
-            out.append((list(chain.from_iterable([x[0] for x in found])), ",".join([x[1] for x in found])))
+        out = [np.frombuffer(b"".join(map(young.__getitem__, segs)), self.kind) for segs in cut]
         whole = next((i for i, t in enumerate(texts) if t), None)
-        if whole is not None and self.library.encode(texts[whole], num_threads=1) != out[whole][0]:
+        if whole is not None and self.library.encode(texts[whole], num_threads=1) != out[whole].tolist():
             raise ValueError("the agenda and the library differ on a whole text")
         return out
 
@@ -236,6 +236,9 @@ def codec(model: bytes) -> Codec:
     return Codec(model)
 
 
+keep("piece_codec", codec.cache_clear)
+
+
 def read_model(path: str) -> bytes:
     with open(path, "rb") as f:
         return f.read()
@@ -250,14 +253,20 @@ def encode_decode(df: DataFrame, model: bytes, key: str = "doc_id", text: str =
         raise ValueError("ids_as is array or text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("piece_codec")
         c = codec(model)
         gc.disable()  # nothing here makes cycles, and going through the remembered segments costs a fifth of the time
         for part in chunks(batches):
             made = c.encode_batch([t or "" for t in part.column(1).to_pylist()])
-            ids = [x[0] for x in made]
-            shown = pa.array(ids, pa.list_(pa.int32())) if ids_as == "array" else pa.array([x[1] for x in made], pa.string())
-            decoded = pa.array([c.library.decode(x) for x in ids], pa.string())
-            yield arrow(["key", "n_tokens", "ids", "decoded"], [part.column(0), pa.array(list(map(len, ids)), pa.int64()), shown, decoded])
+            n = np.fromiter(map(len, made), np.int64, len(made))
+            lists = [x.tolist() for x in made]
+            if ids_as == "array":
+                flat = np.concatenate(made).astype(np.int32) if len(made) else np.empty(0, np.int32)
+                shown = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(n)]).astype(np.int32), flat)
+            else:
+                shown = pa.array([",".join(map(c.decimal.__getitem__, x)) for x in lists], pa.string())
+            decoded = pa.array([c.library.decode(x) for x in lists], pa.string())
+            yield arrow(["key", "n_tokens", "ids", "decoded"], [part.column(0), n, shown, decoded])
 
     kind = "array<int>" if ids_as == "array" else "string"
     narrow = df.select(F.col(key).alias("key"), F.col(text).alias("text"))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, Words, arrow, chunks, grams, mix, owners, shelve, text_bytes, words
+from .common import U64, arrow, at_work, chunks, grams, mix, owners, shelve, text_bytes, Words, words
 from .fm_index import FMIndex, repeated_starts
 
 GRAM, SPREAD, HOT = 16, 10, 20_000
@@ -66,6 +66,7 @@ def _anchors(w: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 def _emit_anchors(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("substring_dedup")
         for part in chunks(batches):
             w = words(*text_bytes(part.column(1)))
             h, best, ok = _anchors(w, window)
@@ -81,6 +82,7 @@ def _cut(window: int):
     inside = window - GRAM - SPREAD + 2  # runs of grams within a window
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("substring_dedup")
         for part in chunks(batches, limit=1 << 20):
             data, offsets = text_bytes(part.column(1))
             w = words(data, offsets)
@@ -143,6 +145,7 @@ def _judge(window: int):
         return arrow(["shard", "segment_id", "bits"], [pdf["shard"].to_numpy(), pdf["segment_id"].to_numpy(), bits])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("substring_dedup")
         held: list[pd.DataFrame] = []
         size = 0
         for batch in batches:
@@ -168,6 +171,7 @@ def _strip(window: int, layout: bool):
     """Rows key, text, starts, bits: to the kept words; with layout, a text that keeps all stays as it is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("substring_dedup")
         for part in chunks(batches):
             data, offsets = text_bytes(part.column(1))
             w = words(data, offsets, hashes=False)
