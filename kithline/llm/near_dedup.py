@@ -10,11 +10,10 @@ the corpus.
    texts agree in one with the probability of their weighted Jaccard similarity. ROWS samples are a
    band's key. At similarity 0.8 a pair meets in no band with probability (1 - 0.8**5)**20 < 4e-4. The
    last two bytes of all samples are a text's sketch.
-3. Texts of one band bucket form a group. A bucket of more than MANY is divided by the other bands'
-   keys, and what is still larger by pairs of blocks, so a group is bounded (a pair in such a bucket
-   needs two bands in common: at similarity 0.8 it has them with probability 0.996). Within a group the
-   share of equal sketch entries estimates a pair's similarity; a pair under threshold - MARGIN (three
-   deviations) is no candidate.
+3. Texts of one band bucket form a group. A bucket of more than MANY is divided by pairs of blocks, so a
+   group is bounded and every pair of a bucket stays together in one. Within a group the share of equal
+   sketch entries estimates a pair's similarity; a pair whose estimate is more than DEVIATIONS standard
+   deviations under the threshold (0.6 at 0.8) is no candidate.
 4. Candidates are compared by the weighted Jaccard similarity of their whole texts. Pairs at or over the
    threshold are links; connected components are classes. First each group sends the pairs of a
    spanning forest that prefers high estimates, about n pairs for n near copies. Groups of three or more
@@ -43,7 +42,7 @@ from .common import U64, arrow, at_work, chunks, grams, mix, shelve, text_bytes,
 SHINGLE, THRESHOLD = 5, 0.8
 IDF_BITS = 18
 BANDS, ROWS = 20, 5
-MANY, MARGIN = 1_500, 0.12
+MANY, DEVIATIONS = 1_500, 5
 _TABLE_BITS = 16
 
 
@@ -273,7 +272,7 @@ def _candidates(least: float, threshold: float, idf: np.ndarray | None):
 
 
 def groups_of(signed: DataFrame) -> DataFrame:
-    """(group, uid): the band buckets with two texts at least, larger ones divided."""
+    """(group, uid): the band buckets with two texts at least, larger ones divided, each pair of theirs in one group at least."""
 
     def sized(d: DataFrame) -> DataFrame:
         return d.join(d.groupBy("group").agg(F.count("*").alias("m")).where("m > 1"), "group")
@@ -282,14 +281,11 @@ def groups_of(signed: DataFrame) -> DataFrame:
     small, large = buckets.where(F.col("m") <= MANY).select("group", "uid"), buckets.where(F.col("m") > MANY)
     if large.isEmpty():
         return small
-    parts = large.select("uid", F.col("group").alias("of")).join(signed, "uid").select("uid", "of", F.explode("bands").alias("band")).where("band != of")
-    parts = shelve(sized(parts.select("uid", F.xxhash64(F.least("of", "band"), F.greatest("of", "band")).alias("group")).distinct()))
-    block = F.pmod(F.xxhash64("uid"), F.ceil(F.col("m") / (MANY // 2)))
     n_blocks = F.ceil(F.col("m") / (MANY // 2))
+    block = F.pmod(F.xxhash64("uid"), n_blocks)
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), n_blocks - 1)).alias("other")
-    tiles = parts.where(F.col("m") > MANY).select("group", "uid", block.alias("block"), other)
-    tiles = tiles.select(F.xxhash64("group", F.least("block", "other"), F.greatest("block", "other")).alias("group"), "uid")
-    return small.unionByName(parts.where(F.col("m") <= MANY).select("group", "uid")).unionByName(tiles)
+    tiles = large.select("group", "uid", block.alias("block"), other)
+    return small.unionByName(tiles.select(F.xxhash64("group", F.least("block", "other"), F.greatest("block", "other")).alias("group"), "uid"))
 
 
 def inverse_frequencies(texts: DataFrame) -> np.ndarray:
@@ -339,11 +335,13 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, key: str = "doc
     groups = shelve(groups_of(signed).distinct())
     comp = first.select("uid", F.col("uid").alias("comp"))
 
+    least = threshold - DEVIATIONS * (threshold * (1 - threshold) / (BANDS * ROWS)) ** 0.5
+
     def of_groups(groups: DataFrame, comp: DataFrame, texts: DataFrame | None) -> DataFrame:
         seen = groups.join(comp, "uid").join(signed.select("uid", "sketch"), "uid")
         seen = seen if texts is None else seen.join(texts, "uid")
         seen = seen.select("group", "uid", "comp", "sketch", *([] if texts is None else ["text"])).repartition("group").sortWithinPartitions("group")
-        return seen.mapInArrow(_candidates(threshold - MARGIN, threshold, None if texts is None else idf), "a bigint, b bigint").distinct()
+        return seen.mapInArrow(_candidates(least, threshold, None if texts is None else idf), "a bigint, b bigint").distinct()
 
     compared = compare_pairs(of_groups(groups, comp, None), texts, idf)
     links = shelve(compared.where(F.col("similarity") >= threshold).select("a", "b"))

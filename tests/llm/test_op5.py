@@ -112,3 +112,31 @@ def test_one_text_against_many_gives_the_same_similarities():
     i, j = np.triu_indices(len(texts), 1)
     got = near_dedup.one_to_many(pa.array(texts), idf, i, j)
     assert got == pytest.approx([similarity(sets[x], sets[y]) for x, y in zip(i, j, strict=True)], abs=1e-9)
+
+
+def test_every_pair_of_a_large_bucket_stays_in_a_group(spark, monkeypatch):
+    """Texts that share one band and no other, in a bucket over MANY."""
+    monkeypatch.setattr(near_dedup, "MANY", 4)
+    signed = spark.createDataFrame([(u, [7, 1000 + u, 2000 + u]) for u in range(13)], "uid long, bands array<long>")
+    of = {}
+    for r in near_dedup.groups_of(signed).collect():
+        of.setdefault(r.group, set()).add(r.uid)
+    assert {(a, b) for g in of.values() for a in g for b in g if a < b} == {(a, b) for b in range(13) for a in range(b)}
+
+
+def test_a_bucket_that_holds_several_classes(spark, monkeypatch):
+    """One band of one sample: unlike texts meet, and the rounds have to sort them out."""
+    monkeypatch.setattr(near_dedup, "ROWS", 1)
+    monkeypatch.setattr(near_dedup, "BANDS", 12)
+    common = [f"c{i}" for i in range(60)]
+    rng = random.Random(1)
+    rows = []
+    for g in range(6):
+        own = [f"g{g}w{i}" for i in range(60)]
+        for v in range(5):
+            t = common + own
+            for _ in range(v):
+                t[rng.randrange(120)] = f"e{len(rows)}x{v}"
+            rows.append((len(rows), " ".join(t)))
+    got = {r.doc_id: r.class_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(spark, rows)
