@@ -19,8 +19,8 @@ from ..operators import matching as M
 from ..operators import validate as V
 from . import fixtures as fx
 
-#: Candidates of a record that the feature queries look at, and that the list queries keep.
-FEW, KEPT = 3, 50
+#: Candidates of a record that the feature queries look at, and that the list queries keep: blocking's own default.
+FEW = KEPT = 300
 
 
 def norm_name(spark, d):
@@ -265,11 +265,11 @@ def unknown_candidates(spark, d):
 def model_fit_predict(spark, d):
     """Fit on sampled pairs, tune, score and assemble: one row for each S1 record."""
     s1, corpus = fx.sources(spark, d)
-    pairs = _pairs(spark, d, 10).select("s1_id", "cand_id")
+    pairs = _pairs(spark, d).select("s1_id", "cand_id")
     truth = fx.truth(spark, d)
     featured = X.clean_features(pairs, s1, corpus)
     train = X.clean_features(L.sampled(pairs, truth), s1, corpus)
-    matcher, _ = M.fit(train, truth, X.CLEAN_FEATURES, rounds=8, depth=4)
+    matcher, _ = M.fit(train, truth, X.CLEAN_FEATURES)
     return M.predict(matcher, featured, s1)
 
 

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from kithline.plans import fixtures
 from kithline.plans.oracles import ORACLES
 from kithline.plans.queries import QUERIES
 
@@ -42,3 +43,19 @@ def test_the_model_gives_every_record_a_row(spark, sf_dir):
 def test_entry(spark):
     assert entry_module.entry(spark).count() == 67
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
+
+
+@pytest.mark.parametrize("name", ["jaccard", "features_raw", "label_pairs"])
+def test_every_candidate_of_blocking_is_looked_at(spark, sf_dir, name):
+    of = {}
+    for r in QUERIES["block_scores"](spark, sf_dir).collect():
+        of.setdefault(r.s1_id, []).append((-r.score, r.cand_id))
+    want = sorted((s1, cand) for s1, found in of.items() for _, cand in sorted(found)[:300])
+    assert max(map(len, of.values())) > 3
+    assert sorted((r.s1_id, r.cand_id) for r in QUERIES[name](spark, sf_dir).collect()) == want
+
+
+def test_missed_truth_is_what_blocking_does_not_find(spark, sf_dir):
+    found = {(r.s1_id, r.cand_id) for r in QUERIES["block_scores"](spark, sf_dir).collect()}
+    true = {(r.s1_id, r.cand_id) for r in fixtures.truth(spark, sf_dir).collect()}
+    assert {(r.s1_id, r.cand_id) for r in QUERIES["missed_truth"](spark, sf_dir).collect()} == true - found
