@@ -1,8 +1,10 @@
 """A compressed FM-index over words: wavelet matrix, backward search, matching statistics.
 
 Sequences are laid one after the other, each closed by a separator; the Burrows-Wheeler transform is
-kept as a wavelet matrix of packed bit vectors with a count per 64 bits. Positions only need to be in
-order up to the longest match asked for, so suffixes are sorted by their first `depth` symbols.
+kept as a wavelet matrix of packed bit vectors with a count per 64 bits (ceil(log2 sigma) * 1.5 bits a
+position), and sums of the weights where they are not all 1. The sequences, which are streamed against
+the index, stay beside it in the smallest integers that hold their symbols. Positions only need to be in order up to the longest match asked for, so suffixes are sorted by their
+first `depth` symbols.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ class FMIndex:
         keep = np.ones(size, bool)
         keep[self.first[1:] - 1] = False
         text[keep] = symbols
-        self.text, self.lengths = text, lengths
+        self.size, self.lengths, self.text = size, lengths, text.astype(np.min_scalar_type(int(text.max()) if size else 0))
         rank, step = text.copy(), 1
         while True:  # prefix doubling
             pair = rank * (int(rank.max()) + 2)
@@ -55,7 +57,7 @@ class FMIndex:
             if step >= depth or fresh[-1] == size - 1 or step >= size:
                 break
         owner = np.repeat(np.arange(n_seq), lengths + 1)
-        self.weight_to = np.concatenate([[0], np.cumsum(weights[owner][order])])
+        self.weight_to = None if (weights == 1).all() else np.concatenate([[0], np.cumsum(weights[owner][order])])
         bwt = text[order - 1]
         self.levels = max(1, int(text.max()).bit_length())
         self.matrix: list[Bits] = []
@@ -88,7 +90,7 @@ class FMIndex:
         return self.starts[symbol] + both[:n], self.starts[symbol] + both[n:]
 
     def weight(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-        return self.weight_to[hi] - self.weight_to[lo]
+        return hi - lo if self.weight_to is None else self.weight_to[hi] - self.weight_to[lo]
 
 
 def repeated_starts(index: FMIndex, window: int, least: int = 2) -> np.ndarray:
@@ -99,7 +101,7 @@ def repeated_starts(index: FMIndex, window: int, least: int = 2) -> np.ndarray:
     All windows inside it are repeated; the window that ends there but reaches past it is not, nor is
     any that holds it; the search goes on from the next end that is still open.
     """
-    size = len(index.text)
+    size = index.size
     found = np.zeros(size + 1, np.int64)
     run = np.flatnonzero(index.lengths >= window)
     base = index.first[run]
@@ -110,7 +112,7 @@ def repeated_starts(index: FMIndex, window: int, least: int = 2) -> np.ndarray:
         at = end.copy()  # the next symbol to the left
         live = np.arange(len(run))
         while len(live):
-            symbol = index.text[at[live]]
+            symbol = index.text[at[live]].astype(np.int64)
             new_lo, new_hi = index.extend(symbol, lo[live], hi[live])
             good = index.weight(new_lo, new_hi) >= least
             live, new_lo, new_hi = live[good], new_lo[good], new_hi[good]

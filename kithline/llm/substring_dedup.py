@@ -7,14 +7,19 @@ start anywhere else (the same text included) is removed; windows are judged on t
    anchors a window has depends on its own words only, so two equal windows have equal anchors. Anchors
    are counted over all texts by a grouped sum.
 2. Segments. A window all of whose anchors occur twice may be repeated. Neighbouring ones that are led
-   by the same anchor make a segment, sent to the shard of that anchor; equal segments are added up
-   before the shuffle. Windows led by an anchor that occurs more than `hot` times go singly to shards
-   of their own content, so no anchor fills a task. Equal windows always meet in one shard.
+   by the same anchor make a segment, sent to the shard of that anchor. Windows led by an anchor that
+   occurs more than `hot` times go singly to shards of their own content, so no anchor fills a task.
+   A task writes the words of a segment once and otherwise only where it stands; equal segments are
+   added up before the shuffle. Equal windows always meet in one shard.
 3. Shards. Over each shard's segments an FM-index is built; the segments are streamed against it by
    backward search, and the matching statistics say which windows occur twice in all.
 4. The answers go back to the texts, whose covered words are removed.
 
-Candidates come from hashes, decisions from words: a hash collision costs time, never a wrong answer.
+Whole texts are shuffled twice, for 2 and 4; each step is settled, and the files of the steps before it
+are deleted as soon as nothing reads them.
+
+Candidates come from 64-bit hashes, decisions from words. Places are told apart by 128 bits of key and
+text, segments by the 64 bits of their anchor and 64 more of their words.
 
 Defined cases: a null text has no words; a text shorter than the window keeps all; repeated rows are
 copies of each other (all their windows are repeated); further columns are not carried, and may have
@@ -23,6 +28,7 @@ any name. A text is held in memory as a whole, one at a time.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,14 +37,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, arrow, at_work, chunks, grams, mix, owners, shelve, text_bytes, Words, words
+from .common import U64, Words, arrow, at_work, chunks, grams, identity, mix, owners, shelve, text_bytes, unshelve, words
 from .fm_index import FMIndex, repeated_starts
 
-GRAM, SPREAD, HOT = 16, 10, 20_000
+GRAM, SPREAD, HOT = 16, 10, 1_000
 #: Segments for one FM-index, beyond which the next begins at the next shard key.
 SEGMENTS = 6_000
 #: Windows that one segment may start.
 MOST_STARTS = 48
+#: Digests of segments whose words a task has written, kept at once; beyond it the words are written again.
+WRITTEN = 200_000
 
 
 def _minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -64,13 +72,19 @@ def _anchors(w: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return h, best, (at + GRAM + SPREAD - 1 <= text_end[: len(best)]) & long[: len(best)]
 
 
-def _emit_anchors(window: int):
+def _emit_anchors(window: int, places: bool):
+    """Rows uid, text (places), or text: to the anchors, with uid and place or alone."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at_work("substring_dedup")
         for part in chunks(batches):
-            w = words(*text_bytes(part.column(1)))
+            w = words(*text_bytes(part.column(part.num_columns - 1)))
             h, best, ok = _anchors(w, window)
-            at = np.unique(best[ok])
+            best = best[ok]
+            at = best[np.concatenate([[True], best[1:] != best[:-1]])] if len(best) else best  # they ascend
+            if not places:
+                yield arrow(["anchor"], [h[at].view(np.int64)])
+                continue
             row = owners(w.first)[at]
             yield arrow(["anchor", "uid", "at"], [h[at].view(np.int64), part.column(0).take(pa.array(row)), (at - w.first[row]).astype(np.int32)])
 
@@ -78,23 +92,26 @@ def _emit_anchors(window: int):
 
 
 def _cut(window: int):
-    """Rows uid, text, ats (places of repeated anchors; negative minus one where the anchor is hot) to segments."""
+    """Rows uid, check, text, ats (places of repeated anchors; negative minus one where the anchor is hot) to segments, whose words are null where the task has written them before."""
     inside = window - GRAM - SPREAD + 2  # runs of grams within a window
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at_work("substring_dedup")
+        written: set[bytes] = set()
         for part in chunks(batches, limit=1 << 20):
-            data, offsets = text_bytes(part.column(1))
+            data, offsets = text_bytes(part.column(2))
             w = words(data, offsets)
             n = len(w.hash)
             h, best, ok = _anchors(w, window)
             if not len(best) or len(best) < inside:
                 continue
-            ats = part.column(2)
+            ats = part.column(3)
             row = np.repeat(np.arange(part.num_rows), ats.value_lengths().to_numpy(zero_copy_only=False))
             at = ats.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             is_hot = np.zeros(n, bool)
             place = np.where(at < 0, -at - 1, at) + w.first[row]
+            here = place < w.first[row + 1]  # those of another text with the same uid may lie beyond
+            place, at = place[here], at[here]
             is_hot[place[at < 0]] = True
             seen = np.zeros(n, bool)
             seen[place] = True
@@ -119,12 +136,20 @@ def _cut(window: int):
             raw = data.tobytes()
             first = start[head]
             last = first + count + window - 2
-            text = [b" ".join(raw[a:b].split()) for a, b in zip(w.start[first], w.end[last], strict=True)]
-            row = owner[head]
-            yield arrow(
-                ["shard", "segment", "uid", "at"],
-                [lead[head].view(np.int64), pa.array([t.decode() for t in text], pa.string()), part.column(0).take(pa.array(row)), (first - w.first[row]).astype(np.int32)],
-            )
+            shard = lead[head].view(np.int64)
+            text, ids = [], []
+            if len(written) > WRITTEN:
+                written.clear()
+            for a, b, of in zip(w.start[first].tolist(), w.end[last].tolist(), shard.tolist(), strict=True):
+                t = b" ".join(raw[a:b].split())
+                digest = hashlib.blake2b(t, digest_size=16, key=of.to_bytes(8, "little", signed=True)).digest()
+                ids.append(digest[:8])
+                text.append(None if digest in written else t.decode())
+                written.add(digest)
+            row = pa.array(owner[head])
+            at = (first - w.first[owner[head]]).astype(np.int32)
+            ids = np.frombuffer(b"".join(ids), np.int64)
+            yield arrow(["shard", "segment_id", "segment", "uid", "check", "at"], [shard, ids, pa.array(text, pa.string()), part.column(0).take(row), part.column(1).take(row), at])
 
     return run
 
@@ -207,19 +232,25 @@ def remove_repeats(df: DataFrame, window: int = 35, key: str = "doc_id", text: s
     """key, n_words, n_removed and kept of every row: the words left, joined by one space; with layout, the text itself where none goes."""
     if window < GRAM + SPREAD or window % 1:
         raise ValueError(f"a window has {GRAM + SPREAD} words at least")
-    docs = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("uid", F.xxhash64("key", "text"))
-    anchors = docs.select("uid", "text").mapInArrow(_emit_anchors(window), "anchor bigint, uid bigint, at int")
+    docs = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    uid, check = identity(docs, ["key", "text"])
+    docs = docs.withColumns({"uid": uid, "check": check})
+    anchors = docs.select("text").mapInArrow(_emit_anchors(window, False), "anchor bigint")
     # settled, so that the join below has a shuffle of its own on either side and Spark can divide a frequent anchor
     twice = shelve(anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n >= 2").select("anchor", (F.col("n") > HOT).alias("hot")))
-    places = anchors.join(twice, "anchor").select("uid", F.expr("if(hot, -at - 1, at)").alias("at"))
-    by_text = places.groupBy("uid").agg(F.collect_set("at").alias("ats"))
-    segments = docs.select("uid", "text").join(by_text, "uid").select("uid", "text", "ats").mapInArrow(_cut(window), "shard bigint, segment string, uid bigint, at int")
-    segments = shelve(segments.select("shard", "segment", F.xxhash64("segment").alias("segment_id"), "uid", "at"))
-    distinct = segments.groupBy("shard", "segment_id", "segment").agg(F.count("*").alias("copies"))
-    dealt = distinct.repartition("shard").sortWithinPartitions("shard")
-    judged = dealt.mapInArrow(_judge(window), "shard bigint, segment_id bigint, bits bigint").where("bits != 0")
-    back = segments.select("shard", "segment_id", "uid", "at").distinct().join(judged, ["shard", "segment_id"])
-    covered = back.groupBy("uid").agg(F.collect_list(F.struct("at", "bits")).alias("hits"))
-    joined = docs.join(covered, "uid", "left").select("key", "text", F.col("hits.at").alias("at"), F.col("hits.bits").alias("bits"))
+    placed = docs.select("uid", "text").mapInArrow(_emit_anchors(window, True), "anchor bigint, uid bigint, at int")
+    places = placed.join(twice, "anchor").select("uid", F.expr("if(hot, -at - 1, at)").alias("at"))
+    by_text = shelve(places.groupBy("uid").agg(F.collect_set("at").alias("ats")))
+    unshelve(twice)
+    whole = docs.select("uid", "check", "text").join(by_text, "uid").select("uid", "check", "text", "ats")
+    segments = shelve(whole.mapInArrow(_cut(window), "shard bigint, segment_id bigint, segment string, uid bigint, check bigint, at int"))
+    unshelve(by_text)
+    distinct = segments.groupBy("shard", "segment_id").agg(F.first("segment", True).alias("segment"), F.count("*").alias("copies"))
+    dealt = distinct.select("shard", "segment_id", "segment", "copies").repartition("shard").sortWithinPartitions("shard")
+    judged = shelve(dealt.mapInArrow(_judge(window), "shard bigint, segment_id bigint, bits bigint").where("bits != 0"))
+    back = segments.select("shard", "segment_id", "uid", "check", "at").join(judged, ["shard", "segment_id"])
+    covered = shelve(back.groupBy("uid", "check").agg(F.collect_set(F.struct("at", "bits")).alias("hits")))
+    unshelve(segments, judged)
+    joined = docs.join(covered, ["uid", "check"], "left").select("key", "text", F.col("hits.at").alias("at"), F.col("hits.bits").alias("bits"))
     kind = docs.schema["key"].dataType.simpleString()
     return joined.mapInArrow(_strip(window, layout), f"key {kind}, n_words bigint, n_removed bigint, kept string").withColumnRenamed("key", key)
