@@ -11,11 +11,13 @@ each a grouped sum over all (source, size) counts, kept in a bracket that halves
 
 Copies. Rates are rounded within strata of about STRATUM documents of one source, from large to small,
 carrying the words owed to the next: a source's words come within a few small documents of its target
-(where a stratum has small ones), and no document exceeds `most` copies. Strata are made by hash, so
-the largest source is spread like any other, and reruns agree.
+(where a stratum has small ones), and no document exceeds `most` copies. Rows equal in id, source and
+size are added up first and share what they get as evenly as can be; strata are made by hash of id and
+size, so the largest source is spread like any other even where ids are null or repeat, and reruns agree.
 
 Defined cases: a null text has size 0 and is taken with 0 words; null is a source of its own; an empty
-table gives none; repeated rows are rounded one by one; further columns are carried only where asked.
+table gives none; a row is returned for every row, repeated ones too; a dual that does not settle in
+ROUNDS steps raises; further columns are not carried.
 """
 
 from __future__ import annotations
@@ -24,9 +26,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shelve
+from .common import shelve, unshelve
 
 STRATUM = 5_000
+ROUNDS = 100
+#: Equal rows that one row stands for on its way out of a stratum, at most.
+TOGETHER = 10_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -51,10 +56,10 @@ def with_targets(sources: DataFrame, weights: tuple[float, ...], share: float, m
     return table.withColumn("target", F.least(F.col("weight") * F.lit(level), most * F.col("source_size")))
 
 
-def tilts(sizes: DataFrame, targets: DataFrame, most: float, rounds: int = 80) -> DataFrame:
-    """targets with tilt, the lambda of each source. sizes: (source, size, n)."""
+def tilts(sizes: DataFrame, targets: DataFrame, most: float, rounds: int = ROUNDS) -> DataFrame:
+    """targets with tilt, the lambda of each source. sizes: (source, size, n). Raises where a source does not settle."""
     mean = F.col("source_size") / F.col("n")
-    state = targets.withColumn("mean", F.coalesce(mean, F.lit(0.0))).withColumns({"tilt": F.lit(0.0), "low": F.lit(-60.0), "high": F.lit(60.0), "done": (F.col("target") >= most * F.col("source_size")) | (F.col("source_size") == 0)})
+    state = targets.withColumn("mean", F.coalesce(mean, F.lit(0.0))).withColumns({"tilt": F.lit(0.0), "low": F.lit(-4096.0), "high": F.lit(4096.0), "done": (F.col("target") >= most * F.col("source_size")) | (F.col("source_size") == 0)})
     state = shelve(state)
     counts = sizes.where("size > 0").select(F.col("source").alias("of"), "size", F.col("n").alias("docs"))
     for _ in range(rounds):
@@ -74,22 +79,29 @@ def tilts(sizes: DataFrame, targets: DataFrame, most: float, rounds: int = 80) -
         moved = moved.withColumns({"low": low, "high": high, "step": newton, "close": F.abs(miss) <= 1e-9 * F.col("target")})
         inside = (F.col("step") > F.col("low")) & (F.col("step") < F.col("high"))
         tilt = F.when(F.col("done") | F.col("close"), F.col("tilt")).when(inside, F.col("step")).otherwise((F.col("low") + F.col("high")) / 2)
-        state = shelve(moved.select(*[c for c in state.columns if c not in ("tilt", "done")], tilt.alias("tilt"), (F.col("done") | F.coalesce("close", F.lit(True))).alias("done")))
+        before, state = state, shelve(moved.select(*[c for c in state.columns if c not in ("tilt", "done")], tilt.alias("tilt"), (F.col("done") | F.coalesce("close", F.lit(True))).alias("done")))
+        unshelve(before)
         if state.where("not done").isEmpty():
-            break
-    return state
+            return state
+    left = state.where("not done").count()
+    raise RuntimeError(f"the rates of {left} sources have not settled in {rounds} steps")
 
 
 def _round(most: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Copies of the documents of one stratum: the nearest whole number to the rate and the words owed."""
+        """Copies of the rows of one stratum, `times` equal ones at once: the nearest whole number to their rate and the words owed."""
         pdf = pdf.sort_values(["size", "mark", "id"], ascending=[False, True, True], kind="stable")
-        owed, copies = 0.0, []
-        for size, rate in zip(pdf["size"].to_numpy().tolist(), pdf["rate"].to_numpy().tolist(), strict=True):
-            n = max(0, min(most, int((rate * size + owed) / size + 0.5))) if size else 1
-            owed += (rate - n) * size
-            copies.append(n)
-        return pdf.assign(copies=copies)[["id", "source", "size", "source_size", "target", "rate", "copies"]]
+        owed, at, copies, times = 0.0, [], [], []
+        for i, (size, rate, n) in enumerate(zip(pdf["size"].to_numpy().tolist(), pdf["rate"].to_numpy().tolist(), pdf["times"].to_numpy().tolist(), strict=True)):
+            all_ = max(0, min(most * n, int(rate * n + owed / size + 0.5))) if size else n
+            owed += (rate * n - all_) * size
+            each, more = divmod(all_, n)
+            for c, m in ((each + 1, more), (each, n - more)):
+                for k in range(0, m, TOGETHER):
+                    at.append(i)
+                    copies.append(c)
+                    times.append(min(TOGETHER, m - k))
+        return pdf.iloc[at].assign(copies=copies, times=times)[["id", "source", "size", "source_size", "target", "rate", "copies", "times"]]
 
     return run
 
@@ -99,7 +111,8 @@ def mix_sources(
 ) -> DataFrame:
     """key, source, size, source_size, target (of the source), rate, copies and taken (words) of every row."""
     rows = shelve(df.select(F.col(key).alias("id"), F.col(source).cast("string").alias("source"), F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size")))
-    sizes = shelve(rows.groupBy("source", "size").agg(F.count("*").alias("n")))
+    rows = rows.groupBy("id", "source", "size").agg(F.count("*").alias("times"))
+    sizes = shelve(rows.groupBy("source", "size").agg(F.sum("times").alias("n")))
     sources = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("n"))
     solved = tilts(sizes, with_targets(sources, weights, share, most), most)
     solved = solved.select(F.col("source").alias("of"), "source_size", "target", "tilt", "mean", "n")
@@ -107,8 +120,9 @@ def mix_sources(
     f = F.coalesce(F.try_divide(F.col("size"), F.col("size") + F.col("mean")), F.lit(0.0))
     capped = F.col("target") >= most * F.col("source_size")
     one = one.withColumn("rate", F.when(capped & (F.col("source_size") > 0), F.lit(float(most))).otherwise(F.least(F.exp(F.col("tilt") * f), F.lit(float(most)))))
-    one = one.withColumn("mark", F.xxhash64("id", "source", "size")).withColumn("stratum", F.pmod(F.xxhash64(F.lit(1), "id"), F.ceil(F.col("n") / STRATUM)))
+    one = one.withColumn("mark", F.xxhash64("id", "source", "size")).withColumn("stratum", F.pmod(F.xxhash64(F.lit(1), "id", "size"), F.ceil(F.col("n") / STRATUM)))
     kind = rows.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, source string, size bigint, source_size bigint, target double, rate double, copies bigint"
-    made = one.select("id", "source", "size", "source_size", "target", "rate", "mark", "stratum").groupBy("source", "stratum").applyInPandas(_round(int(most)), schema)
+    schema = f"id {kind}, source string, size bigint, source_size bigint, target double, rate double, copies bigint, times bigint"
+    made = one.select("id", "source", "size", "source_size", "target", "rate", "mark", "stratum", "times").groupBy("source", "stratum").applyInPandas(_round(int(most)), schema)
+    made = made.withColumn("times", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).drop("times")
     return made.withColumn("taken", F.col("copies") * F.col("size")).withColumnRenamed("id", key)

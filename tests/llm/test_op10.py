@@ -62,5 +62,26 @@ def test_query_on_the_whole_table(spark, sf_dir):
     assert {(r.doc_id, r.taken) for r in op10_mixing(spark, sf_dir).collect()} == {(r.doc_id, r.taken) for r in made}
 
 
+def test_many_rows_without_an_id_are_dealt_to_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "STRATUM", 50)
+    round_ = mixing._round
+    monkeypatch.setattr(mixing, "_round", lambda most: lambda pdf: round_(most)(pdf).assign(source_size=len(pdf)))
+    rng = random.Random(1)
+    rows = [(None, "a", "w " * rng.randint(0, 400)) for _ in range(2_000)] + [(None, "b", "same text")] * 3_000 + [(1, "c", "x y z")] * 500
+    made = mix_sources(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()
+    assert len(made) == len(rows)
+    assert max(r.source_size for r in made) <= 100  # rows of the largest group
+    monkeypatch.undo()
+    check(rows, mix_sources(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect(), lambda s, want: 40 + 0.001 * want)
+
+
+def test_rates_that_do_not_settle_raise(spark, monkeypatch):
+    sizes = spark.createDataFrame([("a", 1, 5), ("a", 90, 2)], "source string, size long, n long")
+    goals = spark.createDataFrame([("a", 185, 7, 5.0, 60.0)], "source string, source_size long, n long, weight double, target double")
+    assert mixing.tilts(sizes, goals, 3.0).first().tilt < 0
+    with pytest.raises(RuntimeError, match="1 sources"):
+        mixing.tilts(sizes, goals, 3.0, rounds=1)
+
+
 def test_empty_table(spark):
     assert mix_sources(spark.createDataFrame([], "doc_id long, source string, text string")).count() == 0
