@@ -1,11 +1,14 @@
 """Operator 1: language identification by Bayesian evidence fusion.
 
 Evidence of one record, as log-odds that add up:
-- its text: hashed byte trigrams under one multinomial model per language, learned from the labelled
-  records by a grouped sum (N_BUCKETS buckets a language, smoothed), tempered by TEMPER because
-  neighbouring trigrams are not independent;
-- its declared markup language (`<html lang=...>`, or a column), right with the probability that the
-  labelled records show for it by a grouped count, language by language;
+- its text: hashed byte trigrams under one multinomial model per language, learned from labelled
+  records by a grouped sum (2**BUCKET_BITS buckets a language, smoothed), tempered by TEMPER because
+  neighbouring trigrams are not independent. Labelled texts fall into two halves by a hash of the text,
+  and each text is judged by the model of the other half: no text, nor a copy of it, is judged by its
+  own label;
+- its declared markup language (`<html lang=...>`), right with the probability that the texts of the
+  records that declare it show: the mean of their text posteriors for it by a grouped sum, language by
+  language, with DECLARED pseudo-records of TRUST;
 - the suffix of its address (country domain, or a path segment that is a language code);
 - its host: a prior smoothed level by level - all records, last label, parent domain, host - each level
   the posterior mean of the level above with STRENGTH pseudo-records. The counts are sums of the text
@@ -13,6 +16,9 @@ Evidence of one record, as log-odds that add up:
 
 A record is kept unless it has no letters at all, or no language reaches `least`.
 
+The MOST_LANGUAGES languages with the most labelled records are modelled (a documented bound: a language
+is 2**BUCKET_BITS numbers for each half); texts of others are judged among those.
+
 Defined cases: a null or empty text has no evidence of its own: its language is what declaration,
 address and host say, and it is rejected; no labelled record at all: the language is null and
 everything with letters is kept; a null host has the global prior; repeated rows are judged alike, and
@@ -25,13 +31,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import U64, arrow, at_work, chunks, shelve, text_bytes
 
 BUCKET_BITS, TEMPER, STRENGTH = 14, 0.1, 20.0
-#: Languages that a model may have: it is 2**BUCKET_BITS numbers for each, and is sent to the tasks.
+TRUST, DECLARED, HINT = 0.9, 10.0, 0.8
 MOST_LANGUAGES = 200
 
 
@@ -47,16 +54,21 @@ def _trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return bucket[same], row[2:][same]
 
 
+def _half(text: str) -> Column:
+    """Of two, the half of the labelled texts that a text is in, or would be."""
+    return (F.crc32(F.coalesce(F.col(text).cast("string"), F.lit(""))) % 2).cast("int")
+
+
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each task: how often each language has each bucket."""
+    """Of each task: how often each language has each bucket in each half."""
     at_work("language_id")
     counts: dict[str, np.ndarray] = {}
+    size = 2 << BUCKET_BITS
     for part in chunks(batches):
         bucket, row = _trigrams(*text_bytes(part.column(0)))
         langs = part.column(1).dictionary_encode()
-        code = langs.indices.to_numpy(zero_copy_only=False)[row]
-        size = 1 << BUCKET_BITS
-        n = np.bincount(code << BUCKET_BITS | bucket, minlength=len(langs.dictionary) * size)
+        code = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64) * 2 + part.column(2).to_numpy()
+        n = np.bincount(code[row] << BUCKET_BITS | bucket, minlength=len(langs.dictionary) * size)
         for k, lang in enumerate(langs.dictionary.to_pylist()):
             counts[lang] = counts.get(lang, 0) + n[k * size : (k + 1) * size]
     for lang, n in counts.items():
@@ -64,41 +76,79 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield arrow(["lang", "bucket", "n"], [pa.array([lang] * len(some), pa.string()), some.astype(np.int32), n[some]])
 
 
-def text_model(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
-    """(languages, log-probability of each bucket in each) from (text, lang)."""
-    got = labelled.where("lang IS NOT NULL").mapInArrow(_learn, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    if got.select("lang").distinct().count() > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages are labelled")
-    found = got.toArrow()
-    langs = sorted(set(found["lang"].to_pylist()))
-    n = np.zeros((len(langs), 1 << BUCKET_BITS))
-    at = {x: i for i, x in enumerate(langs)}
-    n[[at[x] for x in found["lang"].to_pylist()], found["bucket"].to_numpy()] = found["n"].to_numpy()
-    return langs, np.log((n + 0.5) / (n + 0.5).sum(axis=1, keepdims=True)).astype(np.float32) if len(langs) else n
+def text_model(labelled: DataFrame, most: int = MOST_LANGUAGES) -> tuple[list[str], np.ndarray]:
+    """(languages, log-probability of each bucket in each, for texts of each half) from (text, lang)."""
+    labelled = labelled.where("lang IS NOT NULL").select("text", "lang", _half("text").alias("half"))
+    langs = sorted(r.lang for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most).collect())
+    size = 1 << BUCKET_BITS
+    n = np.zeros((2, len(langs), size))
+    if langs:
+        found = labelled.where(F.col("lang").isin(langs)).mapInArrow(_learn, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+        at = {x: i for i, x in enumerate(langs)}
+        bucket = found["bucket"].to_numpy()
+        n[1 - (bucket >> BUCKET_BITS), [at[x] for x in found["lang"].to_pylist()], bucket & (size - 1)] = found["n"].to_numpy()
+    n += 0.5
+    return langs, np.log(n / n.sum(axis=2, keepdims=True)).astype(np.float32)
 
 
 def _likelihoods(model: np.ndarray):
+    by_lang = [np.concatenate([model[0, i], model[1, i]]) for i in range(model.shape[1])]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at_work("language_id")
         for part in chunks(batches):
             data, offsets = text_bytes(part.column(part.num_columns - 1))
             bucket, row = _trigrams(data, offsets)
             n = np.bincount(row, minlength=part.num_rows)
-            ll = np.stack([np.bincount(row, m[bucket], part.num_rows) for m in model], 1).astype(float) if len(model) else np.zeros((part.num_rows, 0))
+            place = bucket + (part.column(part.num_columns - 2).to_numpy().astype(np.int64)[row] << BUCKET_BITS)
+            ll = np.stack([np.bincount(row, m[place], part.num_rows) for m in by_lang], 1).astype(float) if len(by_lang) else np.zeros((part.num_rows, 0))
             letter = ((data >= 65) & (data <= 90)) | ((data >= 97) & (data <= 122)) | (data >= 128)
             letters = np.concatenate([[0], np.cumsum(letter)])
-            flat = pa.ListArray.from_arrays(np.arange(part.num_rows + 1, dtype=np.int32) * ll.shape[1], pa.array(ll.ravel()))
-            names = [*part.schema.names[:-1], "ll", "n_grams", "letters"]
-            yield arrow(names, [*part.columns[:-1], flat, n.astype(np.int64), (letters[offsets[1:]] - letters[offsets[:-1]]).astype(np.int64)])
+            soft = _shares(ll * TEMPER) * (n > 0)[:, None]
+            names = [*part.schema.names[:-2], "ll", "soft", "n_grams", "letters"]
+            yield arrow(names, [*part.columns[:-2], _lists(ll), _lists(soft), n.astype(np.int64), (letters[offsets[1:]] - letters[offsets[:-1]]).astype(np.int64)])
+
+    return run
+
+
+def _fuse(langs: list[str], trust: dict[str, float], everywhere: np.ndarray, least: float):
+    """Rows keys, ll, declared, hint, letters, prior: to keys, lang, probability, keep."""
+    k, at = len(langs), {x: i for i, x in enumerate(langs)}
+
+    def told(said: pa.Array, sure) -> np.ndarray:
+        """Log-odds of statements, each right with the probability sure(said); none for a language not modelled."""
+        said = said.dictionary_encode()
+        table = np.zeros((len(said.dictionary) + 1, k))
+        for i, x in enumerate(said.dictionary.to_pylist()):
+            if x in at:
+                table[i] = np.log((1 - sure(x)) / max(k - 1, 1) + 1e-6)
+                table[i, at[x]] = np.log(sure(x))
+        return table[pc.fill_null(said.indices, len(said.dictionary)).to_numpy(zero_copy_only=False)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ll, declared, hint, letters, prior = b.columns[-5:]
+            own = ll.flatten().to_numpy(zero_copy_only=False).reshape(-1, k) * TEMPER
+            own = own + told(declared, lambda x: trust.get(x, TRUST)) + told(hint, lambda x: HINT)
+            has = prior.is_valid().to_numpy(zero_copy_only=False)
+            before = np.tile(everywhere, (len(own), 1))
+            before[has] = prior.flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+            p = _shares(own + np.log(before))
+            best = p.argmax(axis=1)
+            top = p[np.arange(len(p)), best]
+            yield arrow([*b.schema.names[:-5], "lang", "probability", "keep"], [*b.columns[:-5], pa.array(langs, pa.string()).take(pa.array(best)), top, (letters.to_numpy() > 0) & (top >= least)])
 
     return run
 
 
-def _shares(log: Column) -> Column:
-    """Probabilities from an array of log-odds."""
-    top = F.array_max(log)
-    e = F.transform(log, lambda x: F.exp(x - top))
-    return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, y: a + y))
+def _shares(log: np.ndarray) -> np.ndarray:
+    """Probabilities from rows of log-odds."""
+    e = np.exp(log - log.max(axis=1, keepdims=True)) if log.shape[1] else log
+    return e / e.sum(axis=1, keepdims=True)
+
+
+def _lists(x: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1], pa.array(x.ravel()))
 
 
 def _host_levels(url_host: Column) -> dict[str, Column]:
@@ -118,50 +168,37 @@ def identify(
 ) -> DataFrame:
     """keys, lang, probability and keep of every row of df (with text, declared, host and hint: the address's language code).
 
-    labelled: (text, lang, declared).
+    labelled: (text, lang).
     """
     langs, model = text_model(labelled.select("text", "lang"))
     k = len(langs)
     names = F.array(*map(F.lit, langs)) if k else F.array().cast("array<string>")
-    right = labelled.where("lang IS NOT NULL AND declared IS NOT NULL").groupBy("declared").agg(F.sum((F.col("lang") == F.col("declared")).cast("int")).alias("hit"), F.count("*").alias("n"))
-    sure = {r.declared: (r.hit + 1) / (r.n + 2) for r in right.where(F.col("declared").isin(langs)).collect()}  # a row a language at most
-    base = df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)], F.col(declared).alias("declared"), F.col(host).alias("host"), F.col(hint).alias("hint"), F.col(text).cast("string").alias("text"))
-    fields = [f"{c} {t}" for c, t in base.dtypes if c != "text"]
-    scored = base.mapInArrow(_likelihoods(model), ", ".join([*fields, "ll array<double>", "n_grams bigint", "letters bigint"]))
+    base = df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)], F.col(declared).alias("declared"), F.col(host).alias("host"), F.col(hint).alias("hint"), _half(text).alias("half"), F.col(text).cast("string").alias("text"))
+    fields = [f"{c} {t}" for c, t in base.dtypes if c not in ("text", "half")]
+    scored = base.mapInArrow(_likelihoods(model), ", ".join([*fields, "ll array<double>", "soft array<double>", "n_grams bigint", "letters bigint"]))
     scored = shelve(scored.withColumns(_host_levels(F.col("host"))))
     if not k:
         return scored.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keys)], F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("probability"), (F.col("letters") > 0).alias("keep"))
 
-    def told(said: Column, trust: Column) -> Column:
-        """Log-odds of a statement that is right with probability trust; none for a language not modelled."""
-        other = F.log((1 - trust) / max(k - 1, 1) + 1e-6)
-        return F.transform(names, lambda x: F.when(F.coalesce(F.array_contains(names, said), F.lit(False)), F.when(x == said, F.log(trust)).otherwise(other)).otherwise(0.0))
-
-    trust = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for p in sure.items() for x in p]), F.col("declared")) if sure else F.lit(None), F.lit(0.9))
-    own = F.zip_with(F.transform("ll", lambda x: x * TEMPER), F.zip_with(told(F.col("declared"), trust), told(F.col("hint"), F.lit(0.8)), lambda a, b: a + b), lambda a, b: a + b)
-    record = scored.withColumn("own", own)
-    soft = _shares(F.transform("ll", lambda x: x * TEMPER))
-    summed = [F.sum(F.when(F.col("n_grams") > 0, F.get(soft, F.lit(i))).otherwise(0.0)).alias(f"c{i}") for i in range(k)]
+    said = scored.where(F.col("declared").isin(langs) & (F.col("n_grams") > 0)).select("declared", F.get("soft", F.array_position(names, F.col("declared")).cast("int") - 1).alias("p"))
+    said = said.groupBy("declared").agg(F.sum("p").alias("p"), F.count("*").alias("n")).collect()  # a row a language at most
+    trust = {r.declared: min(0.99, max(0.05, (r.p + DECLARED * TRUST) / (r.n + DECLARED))) for r in said}
+    summed = [F.sum(F.get("soft", F.lit(i))).alias(f"c{i}") for i in range(k)]
     counted = F.array(*[f"c{i}" for i in range(k)])
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
     smooth = lambda c, above: F.zip_with(c, above, lambda x, p: (x + STRENGTH * p) / (total(c) + STRENGTH))
-    flat = F.array(*[F.lit(1.0 / k)] * k)
     hosts = shelve(scored.groupBy("suffix", "domain", "host").agg(*summed).withColumn("c", counted).select("suffix", "domain", "host", "c"))
     each = [F.sum(F.get("c", F.lit(i))).alias(f"c{i}") for i in range(k)]
     whole = hosts.agg(*each).first()  # k numbers
-    everywhere = smooth(F.array(*[F.lit(float(x or 0)) for x in whole]), flat)
-    suffixes = hosts.groupBy("suffix").agg(*each).select("suffix", smooth(counted, everywhere).alias("p_suffix"))
+    whole = np.array([x or 0 for x in whole], float)
+    everywhere = (whole + STRENGTH / k) / (whole.sum() + STRENGTH)
+    suffixes = hosts.groupBy("suffix").agg(*each).select("suffix", smooth(counted, F.array(*map(F.lit, everywhere.tolist()))).alias("p_suffix"))
     domains = hosts.groupBy("suffix", "domain").agg(*each).withColumn("c", counted).join(suffixes, "suffix").select("domain", smooth(F.col("c"), F.col("p_suffix")).alias("p_domain"))
     priors = hosts.join(domains, "domain").select("host", smooth(F.col("c"), F.col("p_domain")).alias("prior"))
-    joined = record.join(priors, "host", "left").withColumn("prior", F.coalesce("prior", everywhere))
-    final = _shares(F.zip_with("own", "prior", lambda a, p: a + F.log(p)))
-    placed = joined.withColumn("p", final).withColumn("best", F.array_max("p"))
-    return placed.select(
-        *[F.col(f"k{i}").alias(c) for i, c in enumerate(keys)],
-        F.get(names, F.array_position("p", F.col("best")).cast("int") - 1).alias("lang"),
-        F.col("best").alias("probability"),
-        ((F.col("letters") > 0) & (F.col("best") >= least)).alias("keep"),
-    )
+    joined = scored.join(priors, "host", "left").select(*[f"k{i}" for i in range(len(keys))], "ll", "declared", "hint", "letters", "prior")
+    kept = ", ".join([f"k{i} {joined.schema[f'k{i}'].dataType.simpleString()}" for i in range(len(keys))] + ["lang string", "probability double", "keep boolean"])
+    placed = joined.mapInArrow(_fuse(langs, trust, everywhere, least), kept)
+    return placed.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keys)], "lang", "probability", "keep")
 
 
 def from_html(df: DataFrame, html: str = "html", url: str = "url") -> DataFrame:

@@ -13,14 +13,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Language of every document and every page (doc_id or page_id is null), and whether it is kept."""
+    """Language of every document and every page (doc_id or page_id is null), and whether it is kept. The documents' lang column is the label; only pages declare a language."""
     from .language_id import from_html, identify
 
     documents = table(spark, sf_dir, "documents")
     none = F.lit(None).cast("string")
-    records = documents.select("doc_id", F.lit(None).cast("bigint").alias("page_id"), "text", F.col("lang").alias("declared"), F.col("source").alias("host"), none.alias("hint"))
+    records = documents.select("doc_id", F.lit(None).cast("bigint").alias("page_id"), "text", none.alias("declared"), F.col("source").alias("host"), none.alias("hint"))
     pages = from_html(table(spark, sf_dir, "pages")).select(F.lit(None).cast("bigint").alias("doc_id"), "page_id", "text", "declared", "host", "hint")
-    return identify(records.unionByName(pages), documents.select("text", "lang", none.alias("declared")), ["doc_id", "page_id"])
+    return identify(records.unionByName(pages), documents.select("text", "lang"), ["doc_id", "page_id"])
 
 
 #: (host, path, verdict)
@@ -73,7 +73,7 @@ def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Class of every document at a weighted Jaccard similarity of 0.8, and its number of links."""
+    """Class of every document at a weighted Jaccard similarity of 0.8."""
     from .near_dedup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
