@@ -7,8 +7,10 @@ its interval meets, and one sweep over a sorted range keeps the rules' hosts tha
 a stack. Of the rules on the stack whose path begins the URL's path, the longest (host and path
 together, then the longer host) gives the verdict; without any, it is `default`.
 
-The ranges' borders are read off a hashed share of the keys (at most about 64 for each range); they
-only say where a row is worked on. A range has about RANGE rows, up to MOST_RANGES ranges.
+The ranges' borders are read off a hashed share of the keys, about 16 for each range and so 65,536 in
+all at most; they only say where a row is worked on. A group has about RANGE rows, however many URLs
+there are: beyond MOST_RANGES * RANGE of them the rows of a range are dealt to several groups by hash,
+each with the range's rules.
 
 Defined cases: host and path of a null URL, or one without "://", are empty (no rule fits them unless
 its host is empty); equal rules with both verdicts block; repeated rows are judged alike; further
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow
 
-RANGE, MOST_RANGES = 20_000, 20_000
+RANGE, MOST_RANGES = 20_000, 4_096
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _END = "\U0010ffff"
 
@@ -83,7 +85,8 @@ def judge_urls(df: DataFrame, rules: DataFrame, default: str = "allow", key: str
     rows = rows.withColumn("place", F.concat_ws("\x00", "key", "path", F.xxhash64("id").cast("string")))
     n = rows.count()
     n_ranges = max(1, min(MOST_RANGES, -(-n // RANGE)))
-    part = min(1.0, 64 * n_ranges / max(n, 1))
+    deal = -(-n // (n_ranges * RANGE))
+    part = min(1.0, 16 * n_ranges / max(n, 1))
     some = rows.where(F.pmod(F.xxhash64("place"), F.lit(1 << 30)) < int(part * (1 << 30)) + 1).select("place")
     keys = sorted(r.place for r in some.collect())
     borders = sorted({keys[i * len(keys) // n_ranges] for i in range(1, n_ranges)}) if keys else []
@@ -91,16 +94,16 @@ def judge_urls(df: DataFrame, rules: DataFrame, default: str = "allow", key: str
     def to_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             place = b.column(4).to_pylist()
-            yield arrow(["range", "id", "host", "path", "key"], [pa.array([bisect_right(borders, x) for x in place], pa.int32()), *b.columns[:4]])
+            yield arrow(["range", "id", "host", "path", "key"], [pa.array([bisect_right(borders, x) * deal + hash_ % deal for x, hash_ in zip(place, b.column(5).to_pylist(), strict=True)], pa.int32()), *b.columns[:4]])
 
     def to_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k, path, name, verdict in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                met = range(bisect_right(borders, k), bisect_right(borders, k + _END) + 1)
+                met = range(bisect_right(borders, k) * deal, (bisect_right(borders, k + _END) + 1) * deal)
                 yield arrow(["range", "key", "path", "rule", "verdict"], [pa.array(met, pa.int32()), *(pa.array([x] * len(met), pa.string()) for x in (k, path, name, verdict))])
 
     kind = rows.schema["id"].dataType.simpleString()
-    dealt = rows.mapInArrow(to_range, f"range int, id {kind}, host string, path string, key string")
+    dealt = rows.withColumn("deal", F.xxhash64("place")).mapInArrow(to_range, f"range int, id {kind}, host string, path string, key string")
     host = F.translate(F.coalesce(F.col("host").cast("string"), F.lit("")), UPPER, LOWER)
     asked = rules.select(host.alias("host"), F.coalesce("path", F.lit("")).alias("path"), F.col("verdict").cast("string").alias("verdict")).distinct()
     asked = asked.select(_reversed("host").alias("key"), "path", F.concat("host", "path").alias("rule"), "verdict")
