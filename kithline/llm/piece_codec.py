@@ -35,14 +35,19 @@ from .common import U64, arrow, at_work, chunks, keep
 
 MARK = "▁"
 SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-#: Segments that a worker remembers; the older half is dropped when it is full.
-REMEMBERED = 300_000
+#: Bytes of segments and their ids, with what Python adds to each, that a worker remembers; the older half is dropped when they are full.
+REMEMBERED_BYTES = 120 << 20
 #: Longer segments have an agenda of their own.
 LONG = 40
 PAIR_BITS = 19
 NONE = np.int32(2**31 - 1)
 
 
+def _weight(segment: str, ids: bytes) -> int:
+    """Bytes that a remembered segment takes: the string (two a character, four for the rarest), the ids, two objects and their place."""
+    return (2 if segment.isascii() or max(segment) < "\U00010000" else 4) * len(segment) + len(ids) + 220
+
+
 class Codec:
     """Encodes and decodes with one model. encode() is this module's; library is the sentencepiece processor."""
 
@@ -62,6 +67,7 @@ class Codec:
         self.decimal = [str(i) for i in range(len(lib))]
         self.young: dict[str, bytes] = {}  # ids of remembered segments
         self.old: dict[str, bytes] = {}
+        self.held = 0  # bytes of young
 
     def merge(self, segment: str) -> list[int]:
         """Ids of one segment by the agenda."""
@@ -206,14 +212,15 @@ class Codec:
             s, ours, wanted = next(x for x in zip(asked, made, theirs, strict=True) if x[1] != x[2])
             raise ValueError(f"the agenda gives {ours} for {s!r}, the library {wanted}")
         for s, ours in zip(asked, made, strict=True):
-            self.young[s] = array(self.kind, ours).tobytes()
+            self.young[s] = kept = array(self.kind, ours).tobytes()
+            self.held += _weight(s, kept)
         if len(asked) < len(new):
             self.young[MARK] = array(self.kind, self.merge(MARK)).tobytes()
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
-        if len(self.young) > REMEMBERED // 2:
-            self.old, self.young = self.young, {}
+        if self.held > REMEMBERED_BYTES // 2:
+            self.old, self.young, self.held = self.young, {}, 0
         young, old = self.young, self.old
         cut = [self.segments(t) for t in texts]
         new = []
@@ -221,6 +228,7 @@ class Codec:
             if s not in young:
                 if (known := old.get(s)) is not None:
                     young[s] = known
+                    self.held += _weight(s, known)
                 else:
                     new.append(s)
         self.learn(new)
