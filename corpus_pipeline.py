@@ -3,8 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and works on all its predecessor kept; all but the last return
 the columns of documents. run() applies them to documents, each stage written and read again.
 
-Rows are told apart by a hash of all their columns, so null and repeated doc_ids do no harm; rows that
-are equal in every column are treated alike.
+Rows are told apart by two 64-bit hashes of all their columns, so null and repeated doc_ids do no harm;
+rows that are equal in every column are treated alike. Further columns stay as they are, whatever their
+names and types: what a stage adds for itself has a name that no column has.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kithline.llm.common import shelve
+from kithline.llm.common import fresh, identity, shelve
 from kithline.llm.language_id import identify
 from kithline.llm.mixing import mix_sources
 from kithline.llm.near_dedup import near_duplicates
@@ -20,41 +21,51 @@ from kithline.llm.piece_codec import encode_decode, read_model
 from kithline.llm.substring_dedup import remove_repeats
 
 
-def _with_uid(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_uid", F.xxhash64(*docs.columns))
+def _marked(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a column that tells its rows apart, and that column's name."""
+    name = fresh("_mark", docs.columns)
+    return docs.withColumn(name, F.struct(*[h.alias(f"h{i}") for i, h in enumerate(identity(docs, docs.columns))])), name
+
+
+def _kept(marked: DataFrame, mark: str, kept: DataFrame) -> DataFrame:
+    """Rows whose mark is in kept's column k; the join is on its two hashes."""
+    found = kept.select(F.col("k.h0").alias("h0"), F.col("k.h1").alias("h1")).distinct()
+    rows = marked.select(F.struct(*[F.col(f"`{c}`") for c in marked.columns if c != mark]).alias("row"), F.col(f"{mark}.h0").alias("h0"), F.col(f"{mark}.h1").alias("h1"))
+    return rows.join(found, ["h0", "h1"], "left_semi")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without a letter, or with no likely language, go."""
+    """Documents whose language can be told; those without a letter, or with no likely language, go. lang is the label that is learned from, by other documents only."""
     none = F.lit(None).cast("string")
-    named = _with_uid(docs)
-    records = named.select("_uid", "text", F.col("lang").alias("declared"), F.col("source").alias("host"), none.alias("hint"))
-    told = identify(records, docs.select("text", "lang", none.alias("declared")), ["_uid"])
-    return named.join(told.where("keep").select("_uid"), "_uid", "left_semi").select(*docs.columns)
+    marked, mark = _marked(docs)
+    records = marked.select(F.col(mark).alias("k"), "text", none.alias("declared"), F.col("source").alias("host"), none.alias("hint"))
+    told = identify(records, docs.select("text", "lang"), ["k"])
+    return _kept(marked, mark, told.where("keep")).select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates: the one with the least doc_id."""
-    named = _with_uid(docs)
-    keyed = named.select(F.struct("doc_id", "_uid").alias("k"), "text")
-    first = near_duplicates(keyed, key="k").where("k = class_id").select(F.col("k._uid").alias("_uid"))
-    return named.join(first, "_uid", "left_semi").dropDuplicates(["_uid"]).select(*docs.columns)
+    marked, mark = _marked(docs)
+    keyed = marked.select(F.struct("doc_id", F.col(mark).alias("mark")).alias("k"), "text")
+    first = near_duplicates(keyed, key="k").where("k = class_id").select(F.col("k.mark").alias("k"))
+    return _kept(marked, mark, first).dropDuplicates(["h0", "h1"]).select("row.*")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of repeated windows of 35; one of which nothing is left goes, one without any stays as it is."""
     others = [c for c in docs.columns if c not in ("text", "n_chars")]
-    made = remove_repeats(docs.select(F.struct(*others).alias("k"), "text"), key="k", layout=True).where("n_removed = 0 OR n_removed < n_words")
+    made = remove_repeats(docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("k"), "text"), key="k", layout=True).where("n_removed = 0 OR n_removed < n_words")
     made = made.select("k.*", F.col("kept").alias("text")).withColumn("n_chars", F.char_length("text").cast("bigint"))
     return made.select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    named = _with_uid(docs)
-    taken = mix_sources(named, key="_uid").groupBy("_uid").agg(F.sum("copies").alias("copies")).where("copies > 0")
-    one = named.dropDuplicates(["_uid"]).join(taken, "_uid")
-    return one.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    marked, mark = _marked(docs)
+    taken = mix_sources(marked, key=mark).groupBy(F.col(mark).alias("k")).agg(F.sum("copies").alias("copies")).where("copies > 0")
+    rows = _kept(marked, mark, taken).dropDuplicates(["h0", "h1"])
+    one = rows.join(taken.select("copies", F.col("k.h0").alias("h0"), F.col("k.h1").alias("h1")), ["h0", "h1"])
+    return one.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
