@@ -10,21 +10,26 @@ the corpus.
    texts agree in one with the probability of their weighted Jaccard similarity. ROWS samples are a
    band's key. At similarity 0.8 a pair meets in no band with probability (1 - 0.8**5)**20 < 4e-4. The
    last two bytes of all samples are a text's sketch.
-3. Texts of one band bucket form a group. A bucket of more than MANY is divided by pairs of blocks, so a
-   group is bounded and every pair of a bucket stays together in one. Within a group the share of equal
-   sketch entries estimates a pair's similarity; a pair whose estimate is more than DEVIATIONS standard
-   deviations under the threshold (0.6 at 0.8) is no candidate.
+3. Texts of one band bucket form a group. Within a group the share of equal sketch entries estimates a
+   pair's similarity; a pair whose estimate is more than DEVIATIONS standard deviations under the
+   threshold (0.6 at 0.8) is no candidate.
 4. Candidates are compared by the weighted Jaccard similarity of their whole texts. Pairs at or over the
-   threshold are links; connected components are classes. First each group sends the pairs of a
-   spanning forest that prefers high estimates, about n pairs for n near copies. Groups of three or more
-   in which classes still meet then get their members' texts and compare all candidates of different
-   classes at once, one text against many; only links between classes leave the group. So no pair
-   inside a class is listed, and no link between classes is lost.
-
-Result: one row per input row with key, class_id (the least key of the class) and n_links (links
-found at its text). Nulls and empty texts have no shingles: they are copies of each
-other and of nothing else. Repeated rows are copies. A row with a null key is compared like any other
-and takes the least key of its class that isn't null. Further columns are not carried.
+   threshold are links; connected components are classes. Links are sought in rounds, each of which
+   leaves fewer classes that meet:
+   - each group sends the pairs of a spanning forest that prefers high estimates, about n pairs for n
+     near copies. A bucket of more than MANY texts is dealt to groups by hash here;
+   - of such a bucket, one leader of each class; the same again;
+   - buckets in which classes still meet get their members' texts and compare all candidates of
+     different classes at once, one text against many; only links between classes leave the group. A
+     bucket of more than MANY is divided by pairs of blocks, but for pairs of blocks of its largest
+     class: m texts, of which o are outside that class, make about m * o / MANY rows.
+   So no pair inside a class is listed, every pair of a bucket whose texts end in different classes has
+   been compared, and a group is bounded.
+
+Result: one row per input row with key and class_id (the least key of the class). Nulls and empty texts
+have no shingles: they are copies of each other and of nothing else. Repeated rows are copies. A row
+with a null key is compared like any other and takes the least key of its class that isn't null.
+Further columns are not carried. Texts are told apart by their MD5, and numbered.
 """
 
 from __future__ import annotations
@@ -37,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, arrow, at_work, chunks, grams, mix, shelve, text_bytes, words
+from .common import U64, arrow, at_work, chunks, grams, identity, mix, shelve, text_bytes, unshelve, words
 
 SHINGLE, THRESHOLD = 5, 0.8
 IDF_BITS = 18
@@ -128,7 +133,7 @@ def _sign(idf: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at_work("near_dedup")
         for part in chunks(batches, limit=1 << 20):
-            row, h, count = shingles(*text_bytes(part.column(1)))
+            row, h, count = shingles(*text_bytes(part.column(2)))
             s = samples(row, h, count * idf[_bucket(h)], part.num_rows, BANDS * ROWS)
             some = np.flatnonzero(s.any(axis=1))
             keys = np.zeros((len(some), BANDS), U64)
@@ -136,7 +141,7 @@ def _sign(idf: np.ndarray):
                 keys = mix(keys + s[some].reshape(len(some), BANDS, ROWS)[:, :, r] + np.arange(BANDS, dtype=U64))
             sketch = s[some].astype("<u2").tobytes()
             width = 2 * BANDS * ROWS
-            yield arrow(["uid", "sketch", "bands"], [part.column(0).take(pa.array(some)), pa.array([sketch[i * width : (i + 1) * width] for i in range(len(some))], pa.binary()), pa.ListArray.from_arrays(np.arange(len(some) + 1, dtype=np.int32) * BANDS, keys.view(np.int64).ravel())])
+            yield arrow(["uid", "copy", "sketch", "bands"], [part.column(0).take(pa.array(some)), part.column(1).take(pa.array(some)), pa.array([sketch[i * width : (i + 1) * width] for i in range(len(some))], pa.binary()), pa.ListArray.from_arrays(np.arange(len(some) + 1, dtype=np.int32) * BANDS, keys.view(np.int64).ravel())])
 
     return run
 
@@ -271,21 +276,39 @@ def _candidates(least: float, threshold: float, idf: np.ndarray | None):
     return run
 
 
-def groups_of(signed: DataFrame) -> DataFrame:
-    """(group, uid): the band buckets with two texts at least, larger ones divided, each pair of theirs in one group at least."""
+def buckets_of(signed: DataFrame) -> DataFrame:
+    """(group, uid, m): the band buckets with two texts at least, and their sizes."""
+    return _sized(signed.select("uid", F.explode("bands").alias("group")).distinct())
 
-    def sized(d: DataFrame) -> DataFrame:
-        return d.join(d.groupBy("group").agg(F.count("*").alias("m")).where("m > 1"), "group")
 
-    buckets = shelve(sized(signed.select("uid", F.explode("bands").alias("group"))))
-    small, large = buckets.where(F.col("m") <= MANY).select("group", "uid"), buckets.where(F.col("m") > MANY)
-    if large.isEmpty():
-        return small
-    n_blocks = F.ceil(F.col("m") / (MANY // 2))
-    block = F.pmod(F.xxhash64("uid"), n_blocks)
-    other = F.explode(F.sequence(F.lit(0).cast("bigint"), n_blocks - 1)).alias("other")
-    tiles = large.select("group", "uid", block.alias("block"), other)
-    return small.unionByName(tiles.select(F.xxhash64("group", F.least("block", "other"), F.greatest("block", "other")).alias("group"), "uid"))
+def _sized(members: DataFrame) -> DataFrame:
+    return members.join(members.groupBy("group").agg(F.count("*").alias("m")).where("m > 1"), "group").select("group", "uid", "m")
+
+
+def blocks_of(buckets: DataFrame) -> DataFrame:
+    """(group, uid): the buckets, those of more than MANY dealt to blocks by hash."""
+    block = F.pmod(F.xxhash64("uid"), F.ceil(F.col("m") / (MANY // 2)))
+    return buckets.select(F.when(F.col("m") > MANY, F.xxhash64("group", block)).otherwise(F.col("group")).alias("group"), "uid")
+
+
+def leaders_of(buckets: DataFrame, comp: DataFrame) -> DataFrame:
+    """(group, uid): of each bucket of more than MANY, one text of each class."""
+    first = buckets.where(F.col("m") > MANY).join(comp, "uid").groupBy("group", "comp").agg(F.min("uid").alias("uid"))
+    return blocks_of(_sized(first.select("group", "uid")))
+
+
+def tiles_of(buckets: DataFrame, comp: DataFrame) -> DataFrame:
+    """(group, uid): of buckets of three or more in which classes meet, groups that hold each pair of different classes together."""
+    placed = buckets.where("m > 2").join(comp, "uid")
+    sizes = placed.groupBy("group", "comp").agg(F.count("*").alias("n")).groupBy("group").agg(F.max(F.struct("n", "comp")).alias("main"), F.count("*").alias("classes")).where("classes > 1")
+    met = placed.join(sizes, "group").withColumn("is_main", F.col("comp") == F.col("main.comp"))
+    half = MANY // 2
+    others, mains = F.ceil((F.col("m") - F.col("main.n")) / half), F.ceil(F.col("main.n") / half)
+    own = F.pmod(F.xxhash64("uid"), F.when(F.col("is_main"), mains).otherwise(others)) + F.when(F.col("is_main"), others).otherwise(0)
+    beside = F.sequence(F.lit(0).cast("bigint"), F.when(F.col("is_main"), others).otherwise(others + mains) - 1)
+    small = met.where(F.col("m") <= MANY).select("group", "uid")
+    large = met.where(F.col("m") > MANY).select("group", "uid", own.alias("own"), F.explode(beside).alias("beside"))
+    return small.unionByName(large.select(F.xxhash64("group", F.least("own", "beside"), F.greatest("own", "beside")).alias("group"), "uid"))
 
 
 def inverse_frequencies(texts: DataFrame) -> np.ndarray:
@@ -303,12 +326,13 @@ def inverse_frequencies(texts: DataFrame) -> np.ndarray:
 def components(links: DataFrame, vertices: DataFrame) -> DataFrame:
     """(uid, comp): the least uid that each vertex reaches over links (a, b). Labels spread and are short-cut until none changes."""
     edges = shelve(links.select("a", "b").union(links.select("b", "a")).distinct())
-    labels = shelve(edges.groupBy(F.col("a").alias("uid")).agg(F.least(F.min("b"), F.first("a")).alias("comp")))
+    step = labels = shelve(edges.groupBy(F.col("a").alias("uid")).agg(F.least(F.min("b"), F.first("a")).alias("comp")))
     while True:
         offered = edges.join(labels.withColumnRenamed("uid", "b"), "b").groupBy(F.col("a").alias("uid")).agg(F.min("comp").alias("near"))
-        step = labels.join(offered, "uid").select("uid", F.col("comp").alias("was"), F.least("comp", "near").alias("comp"))
+        near = labels.join(offered, "uid").select("uid", F.col("comp").alias("was"), F.least("comp", "near").alias("comp"))
         hop = labels.select(F.col("uid").alias("comp"), F.col("comp").alias("beyond"))
-        step = shelve(step.join(hop, "comp", "left").select("uid", "was", F.least("comp", F.coalesce("beyond", "comp")).alias("comp")))
+        before, step = step, shelve(near.join(hop, "comp", "left").select("uid", "was", F.least("comp", F.coalesce("beyond", "comp")).alias("comp")))
+        unshelve(before)
         labels = step.select("uid", "comp")
         if step.where("comp < was").isEmpty():
             break
@@ -323,36 +347,41 @@ def compare_pairs(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFr
 
 
 def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, class_id and n_links of every row."""
+    """key and class_id of every row."""
     rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.withColumn("copy", F.md5("text")).withColumn("uid", F.xxhash64("key", "copy"))
+    rows = rows.withColumn("copy", F.md5("text")).withColumn("uid", identity(rows, ["key"])[0])
     member = shelve(rows.select("key", "copy", "uid", (F.col("text") == "").alias("blank")))
-    first = shelve(member.groupBy("copy").agg(F.min("uid").alias("uid"), F.first("blank").alias("blank")))
-    texts = rows.select("uid", "text").join(first.where("not blank").select("uid"), "uid", "left_semi")
+    # one row a text: uid and copy find it among the rows, number stands for it from here on
+    first = shelve(member.groupBy("copy").agg(F.min("uid").alias("uid"), F.first("blank").alias("blank")).withColumn("number", F.monotonically_increasing_id()))
+    of_text = first.where("not blank").select("uid", "copy", "number")
+    texts = rows.select("uid", "copy", "text").join(of_text, ["uid", "copy"]).select(F.col("number").alias("uid"), "text")
     idf = inverse_frequencies(rows.select("text"))
-    signed = rows.select("uid", "text").mapInArrow(_sign(idf), "uid bigint, sketch binary, bands array<bigint>").join(first.select("uid"), "uid", "left_semi").dropDuplicates(["uid"])
-    signed = shelve(signed)
-    groups = shelve(groups_of(signed).distinct())
-    comp = first.select("uid", F.col("uid").alias("comp"))
-
+    signed = rows.select("uid", "copy", "text").mapInArrow(_sign(idf), "uid bigint, copy string, sketch binary, bands array<bigint>")
+    signed = shelve(signed.join(of_text, ["uid", "copy"]).select(F.col("number").alias("uid"), "sketch", "bands").dropDuplicates(["uid"]))
+    buckets = shelve(buckets_of(signed))
+    every = first.select(F.col("number").alias("uid"))
     least = threshold - DEVIATIONS * (threshold * (1 - threshold) / (BANDS * ROWS)) ** 0.5
 
     def of_groups(groups: DataFrame, comp: DataFrame, texts: DataFrame | None) -> DataFrame:
-        seen = groups.join(comp, "uid").join(signed.select("uid", "sketch"), "uid")
+        seen = groups.distinct().join(comp, "uid").join(signed.select("uid", "sketch"), "uid")
         seen = seen if texts is None else seen.join(texts, "uid")
         seen = seen.select("group", "uid", "comp", "sketch", *([] if texts is None else ["text"])).repartition("group").sortWithinPartitions("group")
         return seen.mapInArrow(_candidates(least, threshold, None if texts is None else idf), "a bigint, b bigint").distinct()
 
-    compared = compare_pairs(of_groups(groups, comp, None), texts, idf)
-    links = shelve(compared.where(F.col("similarity") >= threshold).select("a", "b"))
-    comp = shelve(components(links, first.select("uid")))
-    mixed = groups.join(comp, "uid").groupBy("group").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("m")).where("x < y AND m > 2").select("group")
-    more = shelve(of_groups(groups.join(mixed, "group", "left_semi"), comp, texts.dropDuplicates(["uid"])))
+    def linked(groups: DataFrame, comp: DataFrame) -> DataFrame:
+        return compare_pairs(of_groups(groups, comp, None), texts, idf).where(F.col("similarity") >= threshold).select("a", "b")
+
+    links = shelve(linked(blocks_of(buckets), every.select("uid", F.col("uid").alias("comp"))))
+    comp = shelve(components(links, every))
+    if not buckets.where(F.col("m") > MANY).isEmpty():
+        links = shelve(links.unionByName(linked(leaders_of(buckets, comp), comp)).distinct())
+        comp = shelve(components(links, every))
+    more = shelve(of_groups(tiles_of(buckets, comp), comp, texts.dropDuplicates(["uid"])))
     if not more.isEmpty():
-        links = links.unionByName(more).distinct()
-        comp = shelve(components(links, first.select("uid")))
-    ends = links.select(F.col("a").alias("uid")).unionAll(links.select(F.col("b").alias("uid"))).groupBy("uid").agg(F.count("*").alias("n_links"))
-    of_copy = first.select("copy", "uid").join(comp, "uid").join(ends, "uid", "left").select("copy", "comp", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    placed = shelve(member.select("key", "copy").join(of_copy, "copy").select("key", "comp", "n_links"))
+        comp = shelve(components(links.unionByName(more).distinct(), every))
+    unshelve(signed, buckets, links, more)
+    of_copy = first.select("copy", F.col("number").alias("uid")).join(comp, "uid").select("copy", "comp")
+    placed = shelve(member.select("key", "copy").join(of_copy, "copy").select("key", "comp"))
+    unshelve(member, first, comp)
     name = placed.groupBy("comp").agg(F.min("key").alias("class_id"))
-    return placed.join(name, "comp").select(F.col("key").alias(key), "class_id", F.col("n_links").cast("bigint").alias("n_links"))
+    return placed.join(name, "comp").select(F.col("key").alias(key), "class_id")

@@ -1,4 +1,7 @@
+import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -114,14 +117,82 @@ def test_one_text_against_many_gives_the_same_similarities():
     assert got == pytest.approx([similarity(sets[x], sets[y]) for x, y in zip(i, j, strict=True)], abs=1e-9)
 
 
-def test_every_pair_of_a_large_bucket_stays_in_a_group(spark, monkeypatch):
-    """Texts that share one band and no other, in a bucket over MANY."""
+def test_every_pair_of_different_classes_of_a_large_bucket_stays_in_a_group(spark, monkeypatch):
+    """Texts that share one band and no other, in a bucket over MANY: all their own class, then some in one."""
     monkeypatch.setattr(near_dedup, "MANY", 4)
     signed = spark.createDataFrame([(u, [7, 1000 + u, 2000 + u]) for u in range(13)], "uid long, bands array<long>")
-    of = {}
-    for r in near_dedup.groups_of(signed).collect():
-        of.setdefault(r.group, set()).add(r.uid)
-    assert {(a, b) for g in of.values() for a in g for b in g if a < b} == {(a, b) for b in range(13) for a in range(b)}
+    for comp in (list(range(13)), [0 if u < 9 else u for u in range(13)], [u % 3 for u in range(13)]):
+        of = {}
+        for r in near_dedup.tiles_of(near_dedup.buckets_of(signed), spark.createDataFrame(list(enumerate(comp)), "uid long, comp long")).collect():
+            of.setdefault(r.group, set()).add(r.uid)
+        met = {(a, b) for g in of.values() for a in g for b in g if a < b}
+        assert {(a, b) for b in range(13) for a in range(b) if comp[a] != comp[b]} <= met
+
+
+def test_a_large_class_makes_rows_in_proportion_to_its_members(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "MANY", 40)
+    rows = {}
+    for m in (400, 800):
+        signed = spark.createDataFrame([(u, [7]) for u in range(m + 5)], "uid long, bands array<long>")
+        comp = spark.createDataFrame([(u, 0 if u < m else u) for u in range(m + 5)], "uid long, comp long")
+        buckets = near_dedup.buckets_of(signed)
+        rows[m] = [d.count() for d in (near_dedup.blocks_of(buckets), near_dedup.leaders_of(buckets, comp), near_dedup.tiles_of(buckets, comp))]
+    assert rows[400][:2] == [405, 6]
+    assert rows[800][2] <= 2.1 * rows[400][2] < 2.1 * 600
+
+
+def plain_classes(rows, threshold):
+    """Classes from all pairs, without any code of the operator: words by a pattern, shingles as tuples, exact document frequencies."""
+    cut = {t or "": re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in rows}
+    grams = {t: Counter([tuple(w[i : i + 5]) for i in range(len(w) - 4)] if len(w) >= 5 else [tuple(w)] * bool(w)) for t, w in cut.items()}
+    df = Counter(g for _, t in rows for g in grams[t or ""])
+    n = len(rows)
+    weight = {t: {g: k * (1 + math.log((n + 1) / (df[g] + 1)) / math.log(n + 1)) for g, k in c.items()} for t, c in grams.items()}
+    texts = sorted(weight)
+    total = {t: sum(weight[t].values()) for t in texts}
+    holds = {}
+    for t in texts:
+        for g in weight[t]:
+            holds.setdefault(g, []).append(t)
+    comp = {t: t for t in texts}
+
+    def root(t):
+        while comp[t] != t:
+            t = comp[t]
+        return t
+
+    for t in texts:
+        both = Counter()
+        for g, w in weight[t].items():
+            for u in holds[g]:
+                if u < t:
+                    both[u] += min(w, weight[u][g])
+        for u, low in both.items():
+            if low / (total[t] + total[u] - low) >= threshold:
+                comp[root(t)] = root(u)
+    return {t: root(t) for t in texts}
+
+
+def test_against_plain_python(spark, monkeypatch):
+    """Between the classes at thresholds a hundredth apart: document frequencies share buckets."""
+    monkeypatch.setattr(near_dedup, "MANY", 20)
+    rng = random.Random(8)
+    rows = fixture(11)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    for i in range(120):  # one large group of near copies
+        t = list(base)
+        t[rng.randrange(150)] = f"e{i}"
+        rows.append((1000 + i, " ".join(t)))
+    rows = [(k, t) for k, t in rows if k is not None]
+    got = {r.doc_id: r.class_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    low, high = plain_classes(rows, 0.79), plain_classes(rows, 0.81)
+    for i, t in rows:
+        for j, u in rows:
+            if high[t or ""] == high[u or ""]:
+                assert got[i] == got[j]
+            if got[i] == got[j]:
+                assert low[t or ""] == low[u or ""]
+    assert len({got[1000 + i] for i in range(120)}) == 1
 
 
 def test_a_bucket_that_holds_several_classes(spark, monkeypatch):
