@@ -90,7 +90,7 @@ def tilts(sizes: DataFrame, targets: DataFrame, most: float, rounds: int = ROUND
 def _round(most: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         """Copies of the rows of one stratum, `times` equal ones at once: the nearest whole number to their rate and the words owed."""
-        pdf = pdf.sort_values(["size", "mark", "id"], ascending=[False, True, True], kind="stable")
+        pdf = pdf.sort_values(["size", "mark"], ascending=[False, True], kind="stable")
         owed, at, copies, times = 0.0, [], [], []
         for i, (size, rate, n) in enumerate(zip(pdf["size"].to_numpy().tolist(), pdf["rate"].to_numpy().tolist(), pdf["times"].to_numpy().tolist(), strict=True)):
             all_ = max(0, min(most * n, int(rate * n + owed / size + 0.5))) if size else n
