@@ -24,14 +24,13 @@ from kithline.llm.substring_dedup import remove_repeats
 def _marked(docs: DataFrame) -> tuple[DataFrame, str]:
     """docs with a column that tells its rows apart, and that column's name."""
     name = fresh("_mark", docs.columns)
-    return docs.withColumn(name, F.struct(*[h.alias(f"h{i}") for i, h in enumerate(identity(docs, docs.columns))])), name
+    return docs.withColumn(name, F.concat_ws(".", *[h.cast("string") for h in identity(docs, docs.columns)])), name
 
 
 def _kept(marked: DataFrame, mark: str, kept: DataFrame) -> DataFrame:
-    """Rows whose mark is in kept's column k; the join is on its two hashes."""
-    found = kept.select(F.col("k.h0").alias("h0"), F.col("k.h1").alias("h1")).distinct()
-    rows = marked.select(F.struct(*[F.col(f"`{c}`") for c in marked.columns if c != mark]).alias("row"), F.col(f"{mark}.h0").alias("h0"), F.col(f"{mark}.h1").alias("h1"))
-    return rows.join(found, ["h0", "h1"], "left_semi")
+    """(k, row): the rows of marked whose mark is in kept's column k."""
+    rows = marked.select(F.col(mark).alias("k"), F.struct(*[F.col(f"`{c}`") for c in marked.columns if c != mark]).alias("row"))
+    return rows.join(kept.select("k").distinct(), "k", "left_semi")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +47,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     marked, mark = _marked(docs)
     keyed = marked.select(F.struct("doc_id", F.col(mark).alias("mark")).alias("k"), "text")
     first = near_duplicates(keyed, key="k").where("k = class_id").select(F.col("k.mark").alias("k"))
-    return _kept(marked, mark, first).dropDuplicates(["h0", "h1"]).select("row.*")
+    return _kept(marked, mark, first).dropDuplicates(["k"]).select("row.*")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,8 +62,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     marked, mark = _marked(docs)
     taken = mix_sources(marked, key=mark).groupBy(F.col(mark).alias("k")).agg(F.sum("copies").alias("copies")).where("copies > 0")
-    rows = _kept(marked, mark, taken).dropDuplicates(["h0", "h1"])
-    one = rows.join(taken.select("copies", F.col("k.h0").alias("h0"), F.col("k.h1").alias("h1")), ["h0", "h1"])
+    one = _kept(marked, mark, taken).dropDuplicates(["k"]).join(taken, "k")
     return one.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
