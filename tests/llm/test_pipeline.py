@@ -78,3 +78,14 @@ def test_nulls_repeats_and_empty_tables(spark):
             docs = P.shelve(stage(spark, docs, ""))
         assert docs.count() <= 6
         assert not rows or docs.where("doc_id = 1").count() >= 1
+
+
+def test_further_columns_stay_as_they_are(spark):
+    """Names that the stages use themselves, in any case, and a map."""
+    rows = [(i, f"{'alpha beta gamma delta ' * 3}{i} " + " ".join(f"w{i}x{j}" for j in range(30)), "en", "a", 1, 77, 5, 6, {"a": i}, "r") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, _uid long, _copy int, _MARK int, m map<string,int>, row string")
+    for _, stage in P.STAGES[:-1]:
+        docs = P.shelve(stage(spark, docs, ""))
+        assert docs.columns == "doc_id text lang source n_chars _uid _copy _MARK m row".split()
+        assert {(r.doc_id, r._uid, r._copy, r._MARK, r.m["a"], r.row) for r in docs.collect()} == {(i, 77, 5, 6, i, "r") for i in range(12)}
+    assert P.STAGES[-1][1](spark, docs, "").count() >= 12
