@@ -91,15 +91,15 @@ def keep(owner: str, drop: Callable[[], object]) -> None:
 
 
 def at_work(owner: str) -> None:
-    """Called where an operator begins in a worker: what others have kept there, in a session of many steps, goes."""
+    """Called where an operator begins in a worker: what others have kept there, in a session of many steps, goes, and freed memory goes back to the system."""
     gc.enable()
     if _AT_WORK[0] not in ("", owner):
         for name, drop in _KEPT.items():
             if name != owner:
                 drop()
         gc.collect()
-        with contextlib.suppress(OSError, AttributeError):
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
     _AT_WORK[0] = owner
 
 
@@ -145,7 +145,7 @@ _POWERS: dict[int, np.ndarray] = {}
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers, modulo 2**64, of the hash's base and of its inverse; kept unless one text is very long."""
-    size = max(n, CHUNK_BYTES + 4096)
+    size = 1 << max(16, (n - 1).bit_length())
     found = []
     for base in (_BASE, _INVERSE):
         if (table := _POWERS.get(base)) is None or len(table) < n:
