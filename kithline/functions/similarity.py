@@ -1,11 +1,12 @@
 """Similarities of two strings: set overlaps in the JVM, subsequence and edit distance by one Arrow UDF.
 
 Spark's levenshtein knows no transposition and it has no subsequence function, so these two run as
-bit-parallel integer kernels (Crochemore et al. 2001; Hyyro 2003) on Arrow batches.
+bit-parallel kernels (Crochemore et al. 2001; Hyyro 2003), all pairs of an Arrow batch side by side.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -53,24 +54,127 @@ def osa_distance(a: str, b: str) -> int:
     return distance
 
 
-def _each(kernel, pairs: list[tuple[Column, Column]]) -> Column:
-    """Array of kernel(a, b) of the pairs: the strings cross to Python once, in Arrow batches."""
+#: Longer strings are taken one pair at a time; words of all masks of a batch that are held at once.
+LONG, _MASKS = 512, 1 << 21
+
+
+def _coded(texts: list[str], size: np.ndarray) -> np.ndarray:
+    """Code points, a row a text."""
+    width = max(1, int(size.max()))
+    return np.array(texts, f"<U{width}").view(np.uint32).reshape(len(texts), width)
+
+
+def _carried(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """x + y of numbers whose 64-bit words lie along the first axis, the lowest first."""
+    out = x + y
+    over = out < x
+    for k in range(1, len(out)):
+        plus = out[k] + over[k - 1]
+        over[k] |= plus < out[k]
+        out[k] = plus
+    return out
+
+
+def _shifted(x: np.ndarray) -> np.ndarray:
+    """x << 1, likewise."""
+    out = x << np.uint64(1)
+    out[1:] |= x[:-1] >> np.uint64(63)
+    return out
+
+
+def _lcs_step(state: dict, hit: np.ndarray) -> None:
+    row = state["row"]
+    both = row & hit
+    state["row"] = _carried(row, both) | (row & ~hit)
+
+
+def _osa_step(state: dict, hit: np.ndarray) -> None:
+    up, down, zero, before = state["up"], state["down"], state["zero"], state["before"]
+    swap = _shifted(~zero & hit) & before
+    zero = (_carried(hit & up, up) ^ up) | hit | down | swap
+    rise, fall = down | ~(zero | up), zero & up
+    word, bit, at = state["word"], state["bit"], np.arange(len(state["word"]))
+    state["distance"] += (rise[word, at] >> bit & np.uint64(1)).astype(np.int64) - (fall[word, at] >> bit & np.uint64(1)).astype(np.int64)
+    rise = _shifted(rise)
+    rise[0] |= np.uint64(1)
+    state |= {"up": _shifted(fall) | ~(zero | rise), "down": zero & rise, "zero": zero, "before": hit}
+
+
+def _batch(kind: str, a: list[str], b: list[str]) -> np.ndarray:
+    """lcs_length or osa_distance of many pairs, their bit vectors side by side."""
+    n_a, n_b = np.fromiter(map(len, a), np.int64, len(a)), np.fromiter(map(len, b), np.int64, len(b))
+    out = np.zeros(len(a), np.int64) if kind == "lcs" else n_a + n_b
+    short = (n_a <= LONG) & (n_b <= LONG)
+    one = {"lcs": lcs_length, "osa": osa_distance}[kind]
+    for i in np.flatnonzero(~short).tolist():
+        out[i] = one(a[i], b[i])
+    some = np.flatnonzero(short & (n_a > 0) & (n_b > 0))
+    some = some[np.lexsort((-n_b[some], -n_a[some] // 64))]  # like sizes together
+    at = 0
+    while at < len(some):
+        words = int(n_a[some[at]] + 63) // 64
+        part = some[at : at + max(64, _MASKS // (64 * words))]
+        part = part[np.argsort(-n_b[part], kind="stable")]
+        x, y, size, end = _coded([a[i] for i in part], n_a[part]), _coded([b[i] for i in part], n_b[part]), n_a[part], n_b[part]
+        symbols, code = np.unique(np.concatenate([x.ravel(), y.ravel()]), return_inverse=True)
+        if len(part) > 64 and len(part) * len(symbols) * words > 4 * _MASKS:  # a large alphabet: fewer at once
+            part = part[: max(64, 4 * _MASKS // (len(symbols) * words))]
+            x, y, size, end = x[: len(part)], y[: len(part)], size[: len(part)], end[: len(part)]
+            symbols, code = np.unique(np.concatenate([x.ravel(), y.ravel()]), return_inverse=True)
+            rest = np.setdiff1d(some[at:], part)
+            some = np.concatenate([some[:at], part, rest[np.lexsort((-n_b[rest], -n_a[rest] // 64))]])
+        code = code.ravel()
+        words = int(size.max() + 63) // 64
+        cx, cy, row = code[: x.size].reshape(x.shape), code[x.size :].reshape(y.shape), np.arange(len(part))
+        mask = np.zeros((len(symbols), words, len(part)), np.uint64)
+        for j in range(x.shape[1]):
+            on = row[size > j]
+            mask[cx[on, j], j // 64, on] |= np.uint64(1 << j % 64)
+        state = {k: np.zeros((words, len(part)), np.uint64) for k in ("down", "zero", "before")}
+        state |= {k: np.full((words, len(part)), ~np.uint64(0)) for k in ("row", "up")}
+        state |= {"distance": size.copy(), "word": (size - 1) // 64, "bit": ((size - 1) % 64).astype(np.uint64)}
+        step = _lcs_step if kind == "lcs" else _osa_step
+        done = []
+        live = len(part)
+        for j in range(y.shape[1]):
+            if (still := int(np.searchsorted(-end, -j, "left"))) < live:  # b of the others has ended
+                done.append({k: v[..., still:] for k, v in state.items()})
+                state = {k: v[..., :still].copy() for k, v in state.items()}
+                live = still
+            if not live:
+                break
+            step(state, mask[cy[:live, j], :, row[:live]].T)
+        done.append(state)
+        last = {k: np.concatenate([s[k] for s in reversed(done)], axis=-1) for k in ("row", "distance")}
+        if kind == "osa":
+            out[part] = last["distance"]
+        else:
+            bits = np.clip(size - 64 * np.arange(words)[:, None], 0, 64)
+            full = np.where(bits == 64, ~np.uint64(0), (np.uint64(1) << np.minimum(bits, 63).astype(np.uint64)) - np.uint64(1))
+            out[part] = size - np.bitwise_count(last["row"] & full).sum(axis=0)
+        at += len(part)
+    return out
+
+
+def _each(kind: str, pairs: list[tuple[Column, Column]]) -> Column:
+    """Array of the measure of the pairs: the strings cross to Python once, in Arrow batches."""
 
     @F.pandas_udf("array<int>")
-    def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([[kernel(x, y) for x, y in zip(xs, ys, strict=True)] for xs, ys in zip(a, b, strict=True)])
+    def run(*sides: pd.Series) -> pd.Series:
+        texts = [s.tolist() for s in sides]
+        return pd.Series(list(np.stack([_batch(kind, x, y) for x, y in zip(texts[::2], texts[1::2], strict=True)], axis=1).astype(np.int32)))
 
-    return run(F.array(*[a for a, _ in pairs]), F.array(*[b for _, b in pairs]))
+    return run(*[c for pair in pairs for c in pair])
 
 
 def lcs_lengths(pairs: list[tuple[Column, Column]]) -> Column:
     """Array of the pairs' subsequence lengths."""
-    return _each(lcs_length, pairs)
+    return _each("lcs", pairs)
 
 
 def osa_distances(pairs: list[tuple[Column, Column]]) -> Column:
     """Array of the pairs' edit distances."""
-    return _each(osa_distance, pairs)
+    return _each("osa", pairs)
 
 
 def lcs_ratio(length: Column, a: Column, b: Column) -> Column:
@@ -82,8 +186,13 @@ def osa_ratio(distance: Column, a: Column, b: Column) -> Column:
 
 
 def _overlap(x: Column, y: Column) -> Column:
-    both = F.size(F.array_intersect(x, y))
-    return F.when((F.size(x) == 0) & (F.size(y) == 0), 1.0).when((F.size(x) == 0) | (F.size(y) == 0), 0.0).otherwise(both / (F.size(x) + F.size(y) - both))
+    """Shared entries over all; both sets are made once, though they are looked at several times."""
+
+    def share(s: Column) -> Column:
+        n, m, both = F.size(s["x"]), F.size(s["y"]), F.size(F.array_intersect(s["x"], s["y"]))
+        return F.when((n == 0) & (m == 0), 1.0).when((n == 0) | (m == 0), 0.0).otherwise(F.get(F.transform(F.array(both), lambda k: k / (n + m - k)), F.lit(0)))
+
+    return F.get(F.transform(F.array(F.struct(x.alias("x"), y.alias("y"))), share), F.lit(0))
 
 
 def jaccard(a: Column, b: Column) -> Column:

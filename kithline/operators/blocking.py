@@ -3,7 +3,8 @@
 A signal is a key function and what its shared keys are worth. Keys of the corpus that more than
 min(max(50, share * rows of the country), cap) postings have are dropped before the join, so each probe
 meets at most `cap` postings; postal codes are never dropped, their join is left to Spark's skew
-handling. Contributions of all signals are added up in one partial aggregation per pair.
+handling. The keys of all signals are made in one pass over each side, meet in one join, and their
+contributions are added up in one partial aggregation per pair.
 """
 
 from __future__ import annotations
@@ -37,35 +38,54 @@ ADDRESS = Signal("address", lambda: token_set(F.col("business_address_clean")),
 POSTAL = Signal("postal", _postal, _postal, pruned=False)
 
 
-def postings(corpus: DataFrame, signal: Signal, share: float = 0.01, cap: int = 2000) -> DataFrame:
-    """(country, key, entity_id), a row a posting; frequent keys dropped where the signal says so."""
-    rows = corpus.select("country", "entity_id", F.explode(signal.corpus_keys()).alias("key"))
-    if not signal.pruned:
+ALL = (TOKEN, NGRAM, ADDRESS, POSTAL)
+
+
+def keyed(records: DataFrame, id_: str, signals: tuple[Signal, ...], side: str) -> DataFrame:
+    """(country, id_, signal, key), a row a key, in one pass over the records."""
+
+    def named(signal: Signal) -> Column:
+        return F.transform(getattr(signal, side)(), lambda key: F.struct(F.lit(signal.name).alias("signal"), key.alias("key")))
+
+    keys = F.explode(F.concat(*map(named, signals)))
+    return records.select("country", F.col("entity_id").alias(id_), keys.alias("k")).select("country", id_, "k.signal", "k.key")
+
+
+def postings(corpus: DataFrame, *signals: Signal, share: float = 0.01, cap: int = 2000) -> DataFrame:
+    """(country, entity_id, signal, key), a row a posting; frequent keys dropped where the signal says so.
+
+    The frequent keys, the smaller table by far, are counted map-side first and taken out by an anti-join.
+    """
+    rows = keyed(corpus, "entity_id", signals, "corpus_keys")
+    pruned = [s.name for s in signals if s.pruned]
+    if not pruned:
         return rows
     size = corpus.groupBy("country").agg(F.count("*").alias("rows"))
     most = F.least(F.greatest(F.lit(50), F.floor(F.col("rows") * F.lit(share))), F.lit(cap))
-    rare = rows.groupBy("country", "key").agg(F.count("*").alias("n")).join(size, "country").where(F.col("n") <= most)
-    return rows.join(rare.select("country", "key"), ["country", "key"], "left_semi")
+    counts = rows.where(F.col("signal").isin(pruned)).groupBy("country", "signal", "key").agg(F.count("*").alias("n"))
+    frequent = counts.where("n > 50").join(size, "country").where(F.col("n") > most)
+    return rows.join(frequent.select("country", "signal", "key"), ["country", "signal", "key"], "left_anti")
+
+
+def _met(queries: DataFrame, corpus: DataFrame, signals: tuple[Signal, ...], **prune) -> DataFrame:
+    asked = keyed(queries, "s1_id", signals, "query_keys")
+    return asked.join(postings(corpus, *signals, **prune), ["country", "signal", "key"]).withColumnRenamed("entity_id", "cand_id")
 
 
 def hits(queries: DataFrame, corpus: DataFrame, signal: Signal, share: float = 0.01, cap: int = 2000) -> DataFrame:
     """(s1_id, cand_id, n): how many shared keys, or postings of them, each pair has."""
-    asked = queries.select("country", F.col("entity_id").alias("s1_id"), F.explode(signal.query_keys()).alias("key"))
-    met = asked.join(postings(corpus, signal, share, cap), ["country", "key"])
-    return met.groupBy("s1_id", F.col("entity_id").alias("cand_id")).agg(F.count("*").alias("n"))
+    return _met(queries, corpus, (signal,), share=share, cap=cap).groupBy("s1_id", "cand_id").agg(F.count("*").alias("n"))
 
 
 def scores(queries: DataFrame, corpus: DataFrame, share: float = 0.01, cap: int = 2000, min_ngrams: int = 3, min_address: int = 1) -> DataFrame:
-    """(s1_id, cand_id, score): 3 for any rare name token, 0.2 a trigram, 2 an address token, 10 a postal code."""
-    each = [hits(queries, corpus, s, share, cap).select("s1_id", "cand_id", F.lit(s.name).alias("signal"), "n") for s in (TOKEN, NGRAM, ADDRESS, POSTAL)]
-    rows = each[0].unionByName(each[1]).unionByName(each[2]).unionByName(each[3])
-    return score_hits(rows, min_ngrams, min_address)
+    """(s1_id, cand_id, score): 3 for any rare name token, 0.2 a trigram, 2 an address token, 10 a postal code. One join and one aggregation for all signals."""
+    return score_hits(_met(queries, corpus, ALL, share=share, cap=cap).withColumn("n", F.lit(1)), min_ngrams, min_address)
 
 
 def score_hits(rows: DataFrame, min_ngrams: int = 3, min_address: int = 1) -> DataFrame:
     """(s1_id, cand_id, score) from (s1_id, cand_id, signal, n). One expression in one order, so equal counts give equal doubles."""
     of = lambda name: F.coalesce(F.sum(F.when(F.col("signal") == name, F.col("n"))), F.lit(0)).alias(name)
-    pairs = rows.groupBy("s1_id", "cand_id").agg(*[of(s.name) for s in (TOKEN, NGRAM, ADDRESS, POSTAL)])
+    pairs = rows.groupBy("s1_id", "cand_id").agg(*[of(s.name) for s in ALL])
     ngram, address = F.col("ngram") >= min_ngrams, (F.col("address") >= min_address) & (F.col("address") > 0)
     pairs = pairs.where((F.col("token") > 0) | ngram | address | (F.col("postal") > 0))
     points = (

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.normalize import clean_records
+from ..sources.settled import shelve
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,9 +25,9 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sources(spark: SparkSession, sf_dir: str, clean: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(S1 records, S2 and S3 records), cleaned or raw. Cleaning is spread over all cores: one file is one scan task."""
+    """(S1 records, S2 and S3 records), raw, or cleaned and settled: a query cleans once, however often it reads them. Cleaning is spread over all cores: one file is one scan task."""
     rows = records(spark, sf_dir)
-    rows = clean_records(rows.repartition("entity_id")) if clean else rows
+    rows = shelve(clean_records(rows.repartition("entity_id"))) if clean else rows
     return rows.where(F.col("entity_id").startswith("S1-")), rows.where(~F.col("entity_id").startswith("S1-"))
 
 

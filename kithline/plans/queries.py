@@ -17,6 +17,7 @@ from ..operators import inspect as I
 from ..operators import labels as L
 from ..operators import matching as M
 from ..operators import validate as V
+from ..sources.settled import shelve
 from . import fixtures as fx
 
 #: Candidates of a record that the feature queries look at, and that the list queries keep: blocking's own default.
@@ -113,16 +114,16 @@ def E_round(df):
     return df.select(*[F.round(c, 9).alias(c) if t == "double" else F.col(c).cast("bigint").alias(c) for c, t in df.dtypes])
 
 
-def _pairs(spark, d, k=KEPT):
-    return B.top_candidates(block_scores(spark, d), k).select("s1_id", "cand_id", "score")
+def _pairs(sources, k=KEPT):
+    return B.top_candidates(B.scores(*sources), k).select("s1_id", "cand_id", "score")
 
 
 def label_pairs(spark, d):
-    return L.labelled(_pairs(spark, d).select("s1_id", "cand_id"), fx.truth(spark, d))
+    return L.labelled(_pairs(fx.sources(spark, d)).select("s1_id", "cand_id"), fx.truth(spark, d))
 
 
 def missed_truth(spark, d):
-    return L.missed(_pairs(spark, d, FEW), fx.truth(spark, d))
+    return L.missed(_pairs(fx.sources(spark, d), FEW), fx.truth(spark, d))
 
 
 def truth_lists(spark, d):
@@ -140,7 +141,7 @@ def neg_budget(spark, d):
 
 
 def neg_sample(spark, d):
-    return L.sampled(_pairs(spark, d).select("s1_id", "cand_id"), fx.truth(spark, d)).select("s1_id", "cand_id", "label")
+    return L.sampled(_pairs(fx.sources(spark, d)).select("s1_id", "cand_id"), fx.truth(spark, d)).select("s1_id", "cand_id", "label")
 
 
 def group_split(spark, d):
@@ -151,7 +152,7 @@ def _name_pairs(spark, d):
     """Names and addresses of each record and its best candidates."""
     s1, corpus = fx.sources(spark, d)
     of = lambda r, i, p: r.select(F.col("entity_id").alias(i), F.col("business_name_core").alias(f"{p}_name"), F.col("business_address_clean").alias(f"{p}_addr"))
-    return _pairs(spark, d, FEW).join(of(s1, "s1_id", "l"), "s1_id").join(of(corpus, "cand_id", "r"), "cand_id")
+    return _pairs((s1, corpus), FEW).join(of(s1, "s1_id", "l"), "s1_id").join(of(corpus, "cand_id", "r"), "cand_id")
 
 
 def jaccard(spark, d):
@@ -198,12 +199,12 @@ def _rounded(df, names):
 
 def features_clean(spark, d):
     s1, corpus = fx.sources(spark, d)
-    return _rounded(X.clean_features(_pairs(spark, d, FEW), s1, corpus), X.CLEAN_FEATURES)
+    return _rounded(X.clean_features(_pairs((s1, corpus), FEW), s1, corpus), X.CLEAN_FEATURES)
 
 
 def features_raw(spark, d):
     s1, corpus = fx.sources(spark, d, clean=False)
-    return _rounded(X.raw_features(_pairs(spark, d, FEW), X.raw_records(s1), X.raw_records(corpus)), X.RAW_FEATURES)
+    return _rounded(X.raw_features(_pairs(fx.sources(spark, d), FEW), X.raw_records(s1), X.raw_records(corpus)), X.RAW_FEATURES)
 
 
 def record_lookup(spark, d):
@@ -258,14 +259,14 @@ def matched_counts(spark, d):
 
 def unknown_candidates(spark, d):
     """Candidates that a corpus without its S3 half does not know."""
-    _, corpus = fx.sources(spark, d)
-    return V.unknown_candidates(_pairs(spark, d, FEW).select("s1_id", "cand_id"), corpus.where(F.col("entity_id").startswith("S2-")))
+    s1, corpus = fx.sources(spark, d)
+    return V.unknown_candidates(_pairs((s1, corpus), FEW).select("s1_id", "cand_id"), corpus.where(F.col("entity_id").startswith("S2-")))
 
 
 def model_fit_predict(spark, d):
     """Fit on sampled pairs, tune, score and assemble: one row for each S1 record."""
     s1, corpus = fx.sources(spark, d)
-    pairs = _pairs(spark, d).select("s1_id", "cand_id")
+    pairs = shelve(_pairs((s1, corpus)).select("s1_id", "cand_id"))
     truth = fx.truth(spark, d)
     featured = X.clean_features(pairs, s1, corpus)
     train = X.clean_features(L.sampled(pairs, truth), s1, corpus)

@@ -7,8 +7,6 @@ the sink is written once per batch id, so a batch that is run again overwrites i
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,20 +14,15 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.normalize import clean_records
 from ..operators import blocking as B
 
-SIGNALS = {s.name: s for s in (B.TOKEN, B.NGRAM, B.ADDRESS, B.POSTAL)}
-
-
 def build_index(corpus: DataFrame, path: str, share: float = 0.01, cap: int = 2000) -> None:
     """Postings of a clean corpus, for probe()."""
-    each = [B.postings(corpus, s, share, cap).select("country", F.lit(n).alias("signal"), "key", "entity_id") for n, s in SIGNALS.items()]
-    reduce(DataFrame.unionByName, each).write.mode("overwrite").partitionBy("country").parquet(path)
+    B.postings(corpus, *B.ALL, share=share, cap=cap).write.mode("overwrite").partitionBy("country").parquet(path)
 
 
 def probe(queries: DataFrame, index: DataFrame, k: int = 300) -> DataFrame:
     """Best candidates of clean query records against an index: (s1_id, cand_id, score, rank)."""
-    asked = [queries.select("country", F.lit(n).alias("signal"), F.col("entity_id").alias("s1_id"), F.explode(s.query_keys()).alias("key")) for n, s in SIGNALS.items()]
-    met = reduce(DataFrame.unionByName, asked).join(index, ["country", "signal", "key"])
-    return B.top_candidates(B.score_hits(met.groupBy("s1_id", F.col("entity_id").alias("cand_id"), "signal").agg(F.count("*").alias("n"))), k)
+    met = B.keyed(queries, "s1_id", B.ALL, "query_keys").join(index, ["country", "signal", "key"]).withColumn("n", F.lit(1))
+    return B.top_candidates(B.score_hits(met.withColumnRenamed("entity_id", "cand_id")), k)
 
 
 def block_stream(spark: SparkSession, arrivals: DataFrame, index_path: str, out: str, checkpoint: str, k: int = 300, once: bool = True) -> StreamingQuery:

@@ -87,6 +87,24 @@ def test_kernels_against_tables():
     assert (S.osa_distance("CA", "ABC"), S.osa_distance("ab", "ba"), S.lcs_length("abcde", "xacxe")) == (3, 1, 3)
 
 
+@pytest.mark.parametrize(("letters", "longest"), [("ab", 140), ("abc é日", 30), ("a", 600), ("".join(map(chr, range(0x4E00, 0x4E00 + 3000))), 70)])
+def test_batches_of_pairs_as_one_by_one(letters, longest):
+    rng = random.Random(longest)
+    word = lambda: "".join(rng.choice(letters) for _ in range(rng.randint(0, longest)))
+    a = [word() for _ in range(300)] + ["", "", "ab"]
+    b = []
+    for x in a[:300]:
+        y = list(x)
+        for _ in range(rng.randint(0, 5)):
+            if len(y) > 1:
+                i = rng.randrange(len(y) - 1)
+                y[i : i + 2] = rng.choice([[y[i + 1], y[i]], [y[i]], [y[i], rng.choice(letters), y[i + 1]]])
+        b.append("".join(y) if rng.random() < 0.8 else word())
+    b += ["", "ab", ""]
+    assert S._batch("lcs", a, b).tolist() == [S.lcs_length(x, y) for x, y in zip(a, b, strict=True)]
+    assert S._batch("osa", a, b).tolist() == [S.osa_distance(x, y) for x, y in zip(a, b, strict=True)]
+
+
 def test_ratios_of_empty_strings(spark):
     df = spark.createDataFrame([("", ""), ("a", ""), ("abc technologies private limited", "abc technologies pvt ltd")], "a string, b string")
     a, b = F.col("a"), F.col("b")

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 from kithline.plans import fixtures
-from kithline.plans.oracles import ORACLES
+from kithline.plans.oracles import ORACLES, SLOW
 from kithline.plans.queries import QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -25,10 +25,30 @@ def plain(x):
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows_as_sql(spark, duck, sf_dir, name):
-    df = QUERIES[name](spark, sf_dir)
+    compare(QUERIES[name](spark, sf_dir), duck, ORACLES[name])
+
+
+@pytest.fixture(scope="module")
+def few_documents(tmp_path_factory):
+    """A folder with 72 documents of the smallest tables, and DuckDB with them."""
+    folder = tmp_path_factory.mktemp("few")
+    con = duckdb.connect()
+    con.execute(f"COPY (SELECT * FROM '/root/testdata/sf0.001/documents.parquet' ORDER BY doc_id LIMIT 72) TO '{folder}/documents.parquet' (FORMAT parquet)")
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    return str(folder), con
+
+
+@pytest.mark.parametrize("name", sorted(SLOW))
+def test_same_rows_as_slow_sql_on_a_small_fixture(spark, few_documents, name):
+    df = QUERIES[name](spark, few_documents[0])
+    assert df.count() > 100
+    compare(df, few_documents[1], SLOW[name])
+
+
+def compare(df, duck, sql):
     names = sorted(df.columns)
     got = sorted((tuple(plain(r[c]) for c in names) for r in df.collect()), key=str)
-    cursor = duck.execute(ORACLES[name])
+    cursor = duck.execute(sql)
     columns = [d[0] for d in cursor.description]
     assert sorted(columns) == names
     want = sorted((tuple(plain(dict(zip(columns, r, strict=True))[c]) for c in names) for r in cursor.fetchall()), key=str)
