@@ -9,64 +9,23 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-import os
-import re
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.settled import shared_dir, shelve, unshelve  # noqa: F401
+
 #: Bytes of text that the vectorised steps take at once (a longer single text is taken alone).
 CHUNK_BYTES = 2 << 20
 
 U64 = np.uint64
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Where none is set: a temporary one if all run on this machine, else an error."""
-    if at := spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
-        return at
-    if not re.match(r"local(\[|$)", spark.sparkContext.master):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return os.path.join(tempfile.gettempdir(), "checkpoints")
-
-
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def shelve(df: DataFrame) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: lineage ends there and survives lost executors.
-
-    The shuffle files of the write go when it has ended; unshelve() deletes the table.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/kithline-{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(_CLEANUP, before)
-    made = spark.read.schema(df.schema).parquet(path)
-    made._shelf = path
-    return made
-
-
-def unshelve(*tables: DataFrame) -> None:
-    """Delete tables that shelve() gave and nothing reads any more. What a returned DataFrame still reads must stay."""
-    for df in tables:
-        if path := df.__dict__.pop("_shelf", None):
-            spark = df.sparkSession
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def identity(df: DataFrame, columns: list[str]) -> tuple[Column, Column]:
     """Two 64-bit hashes of a row's columns; together they tell rows apart. Columns that hold maps are hashed as JSON."""
     of = [F.to_json(F.struct(c), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}) if "map<" in df.schema[c].dataType.simpleString() else F.col(f"`{c}`") for c in columns]
