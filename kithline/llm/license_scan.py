@@ -34,7 +34,7 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RAREST = 5
 #: A place and a word of the list in one number: place * WORDS + word.
-WORDS = 256
+WORDS = 1 << 20
 
 # Phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
