@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.normalize import clean_records
 from ..operators import blocking as B
 
+
 def build_index(corpus: DataFrame, path: str, share: float = 0.01, cap: int = 2000) -> None:
     """Postings of a clean corpus, for probe()."""
     B.postings(corpus, *B.ALL, share=share, cap=cap).write.mode("overwrite").partitionBy("country").parquet(path)
