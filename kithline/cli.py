@@ -20,6 +20,7 @@ from .sources import tables as T
 FIELDS = ["business_name_core", "business_name_blockkey", "business_address_clean", "postal_code", "legal_suffix", "country"]
 
 
+# Names and defaults of the flags are the interface.
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="kithline")
     sub = top.add_subparsers(dest="command", required=True)
@@ -49,6 +50,7 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument("--min-neg-per-entity", type=int, default=5)
             p.add_argument("--max-neg-per-entity", type=int, default=200)
             p.add_argument("--rounds", type=int, default=40)
+            p.add_argument("--backend", choices=M.BACKENDS, default=M.BACKENDS[0])
         else:
             p.add_argument("--model", required=True)
             p.add_argument("--out-dir", default="output")
@@ -99,10 +101,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(f"true pairs that blocking has lost: {L.missed(pairs, truth).count()}")
         sample = L.sampled(pairs, truth, a.seed, per_positive=a.neg_per_pos, least=a.min_neg_per_entity, most=a.max_neg_per_entity)
         featured = X.clean_features(sample, s1, corpus)
-        matcher, sweep = M.fit(featured, truth.distinct(), X.CLEAN_FEATURES, rounds=a.rounds, validation=a.val_fraction, seed=a.seed)
+        matcher, sweep = M.fit(featured, truth.distinct(), X.CLEAN_FEATURES, rounds=a.rounds, backend=a.backend, validation=a.val_fraction, seed=a.seed)
         matcher.save(a.model_out)
         held = featured.where(L.in_validation("s1_id", a.val_fraction, a.seed))
-        scoped = truth_lists.join(held.select(F.col("s1_id").alias("source1_entity_id")).distinct(), "source1_entity_id", "left_semi")
+        scoped = M.scoped_truth(truth_lists, held)
         scored = matcher.score(held)
         for t in (matcher.threshold, 0.5):
             print(f"validation macro F0.5 at {t:.2f}: {macro_f05(matches(scored, t), scoped).first()[0]:.4f}")

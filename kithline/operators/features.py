@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import similarity as S
 from ..functions.normalize import raw_address, raw_country, raw_name
 
+# The features and their order, the contract of the output.
 CLEAN_FEATURES = [
     "name_dl_ratio", "name_jaccard", "name_ngram3_sim", "name_ngram2_sim", "name_lcs_ratio", "name_exact_match", "name_len_diff_ratio",
     "blockkey_dl_ratio", "blockkey_exact_match", "addr_lcs_ratio", "addr_dl_ratio", "addr_jaccard", "addr_ngram3_sim", "addr_len_diff_ratio",

@@ -20,6 +20,9 @@ from .evaluation import best_threshold, matches, threshold_sweep
 from .labels import in_validation
 
 
+BACKENDS = ("gbt", "forest", "logistic")
+
+
 @dataclass
 class Matcher:
     model: PipelineModel
@@ -50,7 +53,17 @@ def _estimator(backend: str, rounds: int, depth: int, seed: int):
         return RandomForestClassifier(numTrees=rounds, maxDepth=depth, minInstancesPerNode=20, subsamplingRate=0.8, seed=seed, weightCol="weight")
     if backend == "logistic":
         return LogisticRegression(maxIter=rounds, weightCol="weight")
-    raise ValueError("backend is gbt, forest or logistic")
+    raise ValueError(f"backend is one of {', '.join(BACKENDS)}")
+
+
+def class_counts(pairs: DataFrame) -> DataFrame:
+    """(label, n): their quotient weighs the positives."""
+    return pairs.groupBy("label").agg(F.count("*").alias("n"))
+
+
+def scoped_truth(lists: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The truth lists of the records that have at least one pair."""
+    return lists.join(pairs.select(F.col("s1_id").alias("source1_entity_id")).distinct(), "source1_entity_id", "left_semi")
 
 
 def fit(
@@ -60,7 +73,7 @@ def fit(
     held = in_validation("s1_id", validation, seed)
     rows = pairs.na.fill(0.0, features).withColumn("held", held).persist()  # boosting reads it once a round
     try:
-        classes = {r.label: r.n for r in rows.where("not held").groupBy("label").agg(F.count("*").alias("n")).collect()}
+        classes = {r.label: r.n for r in class_counts(rows.where("not held")).collect()}
         weight = classes.get(0, 0) / max(classes.get(1, 0), 1)
         rows_w = rows.withColumn("weight", F.when(F.col("label") == 1, max(weight, 1e-6)).otherwise(1.0)).withColumn("label", F.col("label").cast("double"))
         assembler = VectorAssembler(inputCols=features, outputCol="features")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from ..functions.normalize import ADDRESS_TOKENS, COUNTRY_NAMES, LEGAL_SUFFIXES, NAME_STEMS, NAME_TOKENS, RAW_ADDRESS_TOKENS, RAW_NAME_TOKENS
 from ..operators.evaluation import GRID
 from ..operators.features import CLEAN_FEATURES, RAW_FEATURES
+from ..sources.tables import BLOCK_COLUMNS, NA_CELLS
+from .files import GIVEN_AT, KEPT_AT
 from .queries import FEW, KEPT
 
 
@@ -202,6 +204,10 @@ def _simple(expression: str, name: str = "sim") -> str:
     return f"WITH {NAMES} SELECT s1_id, cand_id, round({expression}, 9) AS {name} FROM np"
 
 
+_CELL = lambda c, x: f"CASE WHEN coalesce({x}, '') IN ({', '.join(repr(z) for z in NA_CELLS)}) THEN '' ELSE {x} END AS {c}"
+_DOC = "substr(entity_id, 4)::INTEGER"
+_KEPT_SCORE = f"{NAMES}, ks AS (SELECT s1_id, cand_id, ({_jaccard(*_NAME)}::FLOAT::DOUBLE + {_jaccard(*_ADDR)}::FLOAT::DOUBLE) / 2 AS score FROM np)"
+
 ORACLES: dict[str, str] = {
     "norm_name": f"WITH {CLEAN} SELECT entity_id, business_name_clean, business_name_core, business_name_blockkey, legal_suffix FROM cl",
     "norm_addr": f"WITH {CLEAN} SELECT entity_id, business_address_clean FROM cl",
@@ -263,5 +269,19 @@ ORACLES: dict[str, str] = {
     "unknown_candidates": f"WITH {SCORES} SELECT cand_id, s1_id FROM few WHERE NOT starts_with(cand_id, 'S2-')",
 }
 
+ORACLES |= {
+    "raw_files": f"""WITH {RECORDS} SELECT entity_id, {_CELL("business_name", f"CASE WHEN {_DOC} % 7 = 0 THEN ' \"' || business_name || '\"' || chr(9) || ' ' || chr(10) || ' x ' ELSE business_name END")},
+      {_CELL("business_address", "business_address")}, {_CELL("country", f"CASE WHEN {_DOC} % 10 = 0 THEN 'N/A' ELSE country END")}, ({_DOC} % 3)::VARCHAR AS extra FROM rec""",
+    "clean_files": f"WITH {CLEAN} SELECT {', '.join(f'coalesce({c}, {chr(39) * 2}) AS {c}' for c in BLOCK_COLUMNS)}, 'source' || substr(entity_id, 2, 1) || '_clean.tsv' AS file FROM cl",
+    "id_list_files": f"WITH {TRUTH_ALL} SELECT * FROM ta",
+    "short_rows": "SELECT 'D' || doc_id AS id, CASE doc_id % 5 WHEN 3 THEN 'a, b' WHEN 4 THEN 'c' ELSE '' END AS ids FROM documents WHERE doc_id % 5 <> 1",
+    "raw_lookup": f"""WITH {RECORDS}, al AS (SELECT * FROM rec UNION ALL SELECT entity_id, '~ again', business_address, country FROM rec WHERE country = 'US')
+      SELECT entity_id, business_name, business_address, country FROM al QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY business_name DESC, business_address DESC, country DESC) = 1""",
+    "kept_model_predict": f"WITH {_KEPT_SCORE}, {TRUTH} {_assembled(f'(SELECT * FROM ks WHERE score >= {KEPT_AT})')}",
+    "threshold_override": f"WITH {_KEPT_SCORE}, {TRUTH} {_assembled(f'(SELECT * FROM ks WHERE score >= {GIVEN_AT} QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY score DESC, cand_id) <= 3)')}",
+    "class_counts": f"WITH {SCORES}, {TRUTH} SELECT CASE WHEN (s1_id, cand_id) IN (SELECT (s1_id, cand_id) FROM tr) THEN 1 ELSE 0 END AS label, count(*) AS n FROM top GROUP BY 1",
+    "scoped_truth": f"WITH {SCORES}, {TRUTH_ALL} SELECT * FROM ta WHERE ('0x' || left(md5('42|' || source1_entity_id), 8))::BIGINT % 1000 < 200 AND source1_entity_id IN (SELECT s1_id FROM top)",
+}
+
 #: Folded tables of characters: over a minute in DuckDB at sf0.01, so these are held against their queries on a small fixture in the tests.
 SLOW: dict[str, str] = {name: ORACLES.pop(name) for name in ("lcs_ratio", "osa_ratio", "token_sort_ratio", "features_clean", "features_raw")}

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The columns of the files.
 RAW_COLUMNS = ["entity_id", "business_name", "business_address", "country"]
 CLEAN_COLUMNS = ["entity_id", "business_name_clean", "business_name_core", "business_name_blockkey", "legal_suffix", "business_address_clean", "postal_code", "country"]
 BLOCK_COLUMNS = ["entity_id", "business_name_core", "business_name_blockkey", "business_address_clean", "postal_code", "country"]
@@ -21,15 +22,17 @@ def require(df: DataFrame, columns: list[str]) -> DataFrame:
     return df
 
 
-def _read(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    header = spark.read.options(**_TSV).csv(path)  # reads the header alone: nothing is inferred
-    df = spark.read.options(**_TSV).schema(T.StructType([T.StructField(c, T.StringType()) for c in header.columns])).csv(path)
+def _read(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
+    """All columns as text. With multi_line a quoted cell may hold line breaks and a file is one task; without, files are split."""
+    options = _TSV | {"multiLine": multi_line}
+    header = spark.read.options(**options).csv(path)  # reads the header alone: nothing is inferred
+    df = spark.read.options(**options).schema(T.StructType([T.StructField(c, T.StringType()) for c in header.columns])).csv(path)
     return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
 
 
-def read_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Raw records; further columns stay. Cells that mean "nothing" become empty."""
-    df = require(_read(spark, path), RAW_COLUMNS)
+def read_raw(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
+    """Raw records; further columns stay. Cells that mean "nothing" become empty. multi_line: cells may hold line breaks; without, a file is split among tasks."""
+    df = require(_read(spark, path, multi_line), RAW_COLUMNS)
     return df.select(*[F.when(F.col(f"`{c}`").isin(NA_CELLS), "").otherwise(F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
@@ -41,8 +44,8 @@ def read_clean(spark: SparkSession, path: str | list[str], columns: list[str] |
 
 
 def read_id_list(spark: SparkSession, path: str, id_col: str, list_col: str) -> DataFrame:
-    """Two columns of an id-list file; short rows have an empty list, rows without anything are skipped."""
-    df = require(_read(spark, path), [id_col, list_col]).select(id_col, list_col)
+    """Two columns of an id-list file; short rows have an empty list, rows without anything are skipped. Ids hold no line breaks, so a file is split among tasks."""
+    df = require(_read(spark, path, multi_line=False), [id_col, list_col]).select(id_col, list_col)
     return df.where((F.col(id_col) != "") | (F.col(list_col) != ""))
 
 
@@ -55,8 +58,9 @@ def directory_files(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
-    """Tab-separated with a header; empty cells are empty."""
-    df.write.mode("overwrite").options(sep="\t", header=True, emptyValue="", nullValue="", quote='"', escape='"').csv(path)
+    """Tab-separated with a header; empty cells are empty, white space around a cell stays."""
+    plain = {"emptyValue": "", "nullValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(sep="\t", header=True, quote='"', escape='"', **plain).csv(path)
 
 
 def write_id_list(df: DataFrame, path: str, id_col: str, list_col: str) -> None:

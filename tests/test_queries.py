@@ -4,10 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
-from kithline.plans import fixtures
+from kithline.plans import files, fixtures
 from kithline.plans.oracles import ORACLES, SLOW
-from kithline.plans.queries import QUERIES
+from kithline.plans.queries import QUERIES as PLAIN
 
+QUERIES = PLAIN | files.QUERIES
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
