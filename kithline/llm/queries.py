@@ -121,23 +121,20 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _op6_sql() -> str:
     """The phrases and templates as tables, found by comparing slices of each text's words."""
-    from .license_scan import LOWER, PHRASES, TEMPLATES, UPPER, cut
+    from .license_scan import DRIFT, LOWER, PHRASES, TEMPLATES, UPPER, cut, phrase_starts
 
     quoted = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
     phrases = ", ".join(f"({quoted(cut(p))}, '{label}')" for p, label in PHRASES.items())
-    templates = []
-    for label, text, keys in TEMPLATES:
-        t = cut(text)
-        (k,) = map(cut, keys)
-        start = next(i for i in range(len(t)) if t[i : i + len(k)] == k)
-        templates.append(f"('{label}', {quoted(t)}, {quoted(k)}, {start})")
+    templates = ", ".join(f"('{label}', {quoted(cut(t))}, {len(keys)})" for label, t, keys in TEMPLATES)
+    keyed = ", ".join(f"('{label}', {k}, {quoted(cut(p))}, {start})" for label, t, keys in TEMPLATES for k, (p, start) in enumerate(zip(keys, phrase_starts(cut(t), list(map(cut, keys))), strict=True)))
     return f"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
-ph(p, label) AS (VALUES {phrases}), tp(label, t, p, start) AS (VALUES {", ".join(templates)}),
-o AS (SELECT doc_id, w, unnest(range(1, length(w) + 1)) AS i FROM d WHERE list_has_any(w, (SELECT list(p[1]) FROM (SELECT p FROM ph UNION ALL SELECT p FROM tp)))),
+ph(p, label) AS (VALUES {phrases}), tp(label, t, n) AS (VALUES {templates}), kp(label, k, p, start) AS (VALUES {keyed}),
+o AS (SELECT doc_id, w, unnest(range(1, length(w) + 1)) AS i FROM d WHERE list_has_any(w, (SELECT list(p[1]) FROM (SELECT p FROM ph UNION ALL SELECT p FROM kp)))),
 b AS (SELECT doc_id, count(*) AS n, min(i) - 1 AS a, max(i) - 1 AS z, list(DISTINCT label) AS l FROM o JOIN ph ON w[i] = p[1] AND list_slice(w, i, i + length(p) - 1) = p GROUP BY 1),
-m AS (SELECT doc_id, label, length(list_filter(range(1, length(t) + 1), lambda k: i - start - 1 + k >= 1 AND w[i - start - 1 + k] = t[k]))::DOUBLE / length(t) AS s
-      FROM o JOIN tp ON w[i] = p[1] AND list_slice(w, i, i + length(p) - 1) = p),
+po AS (SELECT doc_id, label, k, i - 1 - start AS off FROM o JOIN kp ON w[i] = p[1] AND list_slice(w, i, i + length(p) - 1) = p),
+al AS (SELECT x.doc_id, x.label, x.off FROM po x JOIN po y ON x.doc_id = y.doc_id AND x.label = y.label AND abs(x.off - y.off) <= {DRIFT} JOIN tp ON tp.label = x.label WHERE x.k = 0 GROUP BY ALL HAVING count(DISTINCT y.k) = any_value(tp.n)),
+m AS (SELECT doc_id, label, length(list_filter(range(1, length(t) + 1), lambda k: off + k >= 1 AND w[off + k] = t[k]))::DOUBLE / length(t) AS s FROM al JOIN tp USING (label) JOIN d USING (doc_id)),
 g AS (SELECT doc_id, max(s) AS s, list(DISTINCT label) AS l FROM m GROUP BY 1)
 SELECT d.doc_id, length(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, a::BIGINT AS first_word, z::BIGINT AS last_word,
        coalesce(array_to_string(list_sort(b.l), ','), '') AS base_labels,
