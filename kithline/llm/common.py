@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import functools
 import gc
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
@@ -57,9 +58,32 @@ def at_work(owner: str) -> None:
             if name != owner:
                 drop()
         gc.collect()
+    _give_back()
+    _AT_WORK[0] = owner
+
+
+def _give_back() -> None:
+    """Freed memory goes back to the system: Arrow's and the C library's."""
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL("libc.so.6").malloc_trim(0)
-    _AT_WORK[0] = owner
+
+
+def worker(owner: str):
+    """For functions of Arrow batches: at_work() before the first, and memory given back after the last, for a worker may then be idle beside others."""
+
+    def around(f):
+        @functools.wraps(f)
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            at_work(owner)
+            try:
+                yield from f(batches)
+            finally:
+                _give_back()
+
+        return run
+
+    return around
 
 
 def text_bytes(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

@@ -35,11 +35,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, arrow, at_work, chunks, shelve, text_bytes
+from .common import U64, arrow, chunks, shelve, text_bytes, worker
 
 BUCKET_BITS, TEMPER, STRENGTH = 14, 0.1, 20.0
 TRUST, DECLARED, HINT = 0.9, 10.0, 0.8
 MOST_LANGUAGES = 200
+#: Bytes of text taken at once: trigrams take some 80 bytes of memory for each.
+PIECE_BYTES = 512 << 10
 
 
 def _trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,12 +61,12 @@ def _half(text: str) -> Column:
     return (F.crc32(F.coalesce(F.col(text).cast("string"), F.lit(""))) % 2).cast("int")
 
 
+@worker("language_id")
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each task: how often each language has each bucket in each half."""
-    at_work("language_id")
     counts: dict[str, np.ndarray] = {}
     size = 2 << BUCKET_BITS
-    for part in chunks(batches):
+    for part in chunks(batches, limit=PIECE_BYTES):
         bucket, row = _trigrams(*text_bytes(part.column(0)))
         langs = part.column(1).dictionary_encode()
         code = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64) * 2 + part.column(2).to_numpy()
@@ -94,9 +96,9 @@ def text_model(labelled: DataFrame, most: int = MOST_LANGUAGES) -> tuple[list[st
 def _likelihoods(model: np.ndarray):
     by_lang = [np.concatenate([model[0, i], model[1, i]]) for i in range(model.shape[1])]
 
+    @worker("language_id")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at_work("language_id")
-        for part in chunks(batches):
+        for part in chunks(batches, limit=PIECE_BYTES):
             data, offsets = text_bytes(part.column(part.num_columns - 1))
             bucket, row = _trigrams(data, offsets)
             n = np.bincount(row, minlength=part.num_rows)

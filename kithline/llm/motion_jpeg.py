@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow, at_work, chunks, text_bytes
+from .common import arrow, chunks, text_bytes, worker
 
 SIDE, RATE = 24, 25
 FRAME = SIDE * SIDE
@@ -221,8 +221,8 @@ def shots(histograms: np.ndarray) -> list[tuple[int, int]]:
 def store(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_bytes (of the UTF-8 text) and media (the AVI file of its padded payload) of every row."""
 
+    @worker("motion_jpeg")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at_work("motion_jpeg")
         for part in chunks(batches, limit=1 << 20):
             data, offsets = text_bytes(part.column(1))
             size = np.diff(offsets)
@@ -245,8 +245,8 @@ def read(df: DataFrame, media: str = "media") -> DataFrame:
     """df with payload (the stored bytes read back), clips (array of clip, start_s, end_s, frames) and feature of its media."""
     kept = [c for c in df.columns if c != media]
 
+    @worker("motion_jpeg")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at_work("motion_jpeg")
         for part in chunks(batches, "media", 2 << 20):
             files = part.column(len(kept)).to_pylist()
             indexes = [read_index(m) for m in files]

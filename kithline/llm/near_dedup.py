@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, arrow, at_work, chunks, grams, identity, mix, shelve, text_bytes, unshelve, words
+from .common import U64, arrow, chunks, grams, identity, mix, shelve, text_bytes, unshelve, words, worker
 
 SHINGLE, THRESHOLD = 5, 0.8
 IDF_BITS = 18
@@ -73,9 +73,9 @@ def _bucket(h: np.ndarray) -> np.ndarray:
     return (h >> U64(64 - IDF_BITS)).astype(np.int64)
 
 
+@worker("near_dedup")
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each task: in how many texts each bucket has a shingle."""
-    at_work("near_dedup")
     n = np.zeros(1 << IDF_BITS, np.int64)
     for part in chunks(batches):
         row, h, _ = shingles(*text_bytes(part.column(0)))
@@ -130,8 +130,8 @@ def samples(row: np.ndarray, h: np.ndarray, weight: np.ndarray, n_rows: int, n:
 
 
 def _sign(idf: np.ndarray):
+    @worker("near_dedup")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at_work("near_dedup")
         for part in chunks(batches, limit=1 << 20):
             row, h, count = shingles(*text_bytes(part.column(2)))
             s = samples(row, h, count * idf[_bucket(h)], part.num_rows, BANDS * ROWS)
@@ -168,8 +168,8 @@ def _compare(idf: np.ndarray):
         cut = np.searchsorted(row, np.arange(len(col) + 1))
         return [(h[i:j], weight[i:j]) for i, j in zip(cut[:-1], cut[1:], strict=True)]
 
+    @worker("near_dedup")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at_work("near_dedup")
         for part in chunks(batches, "text_a", 1 << 20):
             col_b = part.column(3)
             if isinstance(col_b, pa.ChunkedArray):
@@ -240,8 +240,8 @@ def one_to_many(texts: pa.Array, idf: np.ndarray, i: np.ndarray, j: np.ndarray)
 def _candidates(least: float, threshold: float, idf: np.ndarray | None):
     """Rows group, uid, comp, sketch (and text), sorted by group: without texts to the pairs (a > b) of a forest, with them to links between classes."""
 
+    @worker("near_dedup")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at_work("near_dedup")
 
         def emit(table: pa.Table, ends: np.ndarray) -> pa.RecordBatch:
             uid, comp = table["uid"].to_numpy(), table["comp"].to_numpy()

@@ -31,12 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, arrow, at_work, chunks, keep
+from .common import U64, arrow, chunks, keep, worker
 
 MARK = "▁"
 SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Bytes of segments and their ids, with what Python adds to each, that a worker remembers; the older half is dropped when they are full.
-REMEMBERED_BYTES = 120 << 20
+REMEMBERED_BYTES = 64 << 20
 #: Longer segments have an agenda of their own.
 LONG = 40
 PAIR_BITS = 19
@@ -260,8 +260,8 @@ def encode_decode(df: DataFrame, model: bytes, key: str = "doc_id", text: str =
     if ids_as not in ("array", "text"):
         raise ValueError("ids_as is array or text")
 
+    @worker("piece_codec")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at_work("piece_codec")
         c = codec(model)
         gc.disable()  # nothing here makes cycles, and going through the remembered segments costs a fifth of the time
         for part in chunks(batches):

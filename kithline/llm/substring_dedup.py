@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, Words, arrow, at_work, chunks, grams, identity, mix, owners, shelve, text_bytes, unshelve, words
+from .common import U64, Words, arrow, chunks, grams, identity, mix, owners, shelve, text_bytes, unshelve, words, worker
 from .fm_index import FMIndex, repeated_starts
 
 GRAM, SPREAD, HOT = 16, 10, 1_000
@@ -75,8 +75,8 @@ def _anchors(w: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 def _emit_anchors(window: int, places: bool):
     """Rows uid, text (places), or text: to the anchors, with uid and place or alone."""
 
+    @worker("substring_dedup")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at_work("substring_dedup")
         for part in chunks(batches):
             w = words(*text_bytes(part.column(part.num_columns - 1)))
             h, best, ok = _anchors(w, window)
@@ -95,8 +95,8 @@ def _cut(window: int):
     """Rows uid, check, text, ats (places of repeated anchors; negative minus one where the anchor is hot) to segments, whose words are null where the task has written them before."""
     inside = window - GRAM - SPREAD + 2  # runs of grams within a window
 
+    @worker("substring_dedup")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at_work("substring_dedup")
         written: set[bytes] = set()
         for part in chunks(batches, limit=1 << 20):
             data, offsets = text_bytes(part.column(2))
@@ -169,8 +169,8 @@ def _judge(window: int):
         np.bitwise_or.at(bits, owner, np.int64(1) << (place - index.first[owner]))
         return arrow(["shard", "segment_id", "bits"], [pdf["shard"].to_numpy(), pdf["segment_id"].to_numpy(), bits])
 
+    @worker("substring_dedup")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at_work("substring_dedup")
         held: list[pd.DataFrame] = []
         size = 0
         for batch in batches:
@@ -195,8 +195,8 @@ def _judge(window: int):
 def _strip(window: int, layout: bool):
     """Rows key, text, starts, bits: to the kept words; with layout, a text that keeps all stays as it is."""
 
+    @worker("substring_dedup")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at_work("substring_dedup")
         for part in chunks(batches):
             data, offsets = text_bytes(part.column(1))
             w = words(data, offsets, hashes=False)
