@@ -23,6 +23,8 @@ from ..sources.settled import shared_dir, shelve, unshelve  # noqa: F401
 
 #: Bytes of text that the vectorised steps take at once (a longer single text is taken alone).
 CHUNK_BYTES = 2 << 20
+#: Rows that they take at once, whatever the session's Arrow batches are.
+CHUNK_ROWS = 1 << 15
 
 U64 = np.uint64
 
@@ -97,7 +99,7 @@ def text_bytes(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
 
 
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that a piece holds at most limit bytes of column, or one row."""
+    """Cut Arrow batches so that a piece holds at most limit bytes of column, or one row, and at most CHUNK_ROWS rows."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -106,7 +108,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         at = 0
         while at < batch.num_rows:
             done = ends[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, done + limit, "right")))
+            to = max(at + 1, min(at + CHUNK_ROWS, int(np.searchsorted(ends, done + limit, "right"))))
             yield batch.slice(at, to - at)
             at = to
 

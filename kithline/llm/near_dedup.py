@@ -1,9 +1,11 @@
 """Operator 5: near-duplicates by improved consistent weighted sampling over TF-IDF word shingles.
 
 A text's shingles are its runs of five words (all its words, if it has fewer); a shingle weighs its
-count times an inverse document frequency between 1 and 2. Document frequencies are those of
-2**IDF_BITS hashed buckets, counted over all texts by a grouped sum: their number is fixed, whatever
-the corpus.
+count times an inverse document frequency: 1 in all texts, 2 in RARE of them or fewer, by the logarithm
+of the share between. The share is estimated from 2**IDF_BITS hashed buckets, counted over all texts by
+a grouped sum: what its bucket holds beyond the mean bucket. The mean depends on the length of texts
+(under RARE up to 2,600 shingles a text), not on their number, so a shingle's weight is the same at every
+size of a corpus; a rare shingle that falls into a common one's bucket takes the weight of that one.
 
 1. Equal texts are one text from here on; they share a class without any comparison.
 2. Each text gets BANDS * ROWS samples by improved consistent weighted sampling (Ioffe, 2010): two
@@ -45,7 +47,7 @@ from pyspark.sql import functions as F
 from .common import U64, arrow, chunks, grams, identity, mix, shelve, text_bytes, unshelve, words, worker
 
 SHINGLE, THRESHOLD = 5, 0.8
-IDF_BITS = 18
+IDF_BITS, RARE = 18, 0.01
 BANDS, ROWS = 20, 5
 MANY, DEVIATIONS = 1_500, 5
 _TABLE_BITS = 16
@@ -312,7 +314,7 @@ def tiles_of(buckets: DataFrame, comp: DataFrame) -> DataFrame:
 
 
 def inverse_frequencies(texts: DataFrame) -> np.ndarray:
-    """1 + ln((N + 1) / (df + 1)) / ln(N + 1) of each of the 2**IDF_BITS buckets: a table of fixed size (1 MB).
+    """1 + ln(share) / ln(RARE), with shares from RARE to 1, of each of the 2**IDF_BITS buckets: a table of fixed size (1 MB).
 
     Between 1 and 2, so that one large group of copies cannot push the texts near to it apart.
     """
@@ -320,7 +322,8 @@ def inverse_frequencies(texts: DataFrame) -> np.ndarray:
     df = np.zeros(1 << IDF_BITS)
     for r in texts.select("text").mapInArrow(_frequencies, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow().to_batches():
         df[r.column(0).to_numpy()] = r.column(1).to_numpy()
-    return (1 + np.log((n + 1) / (np.minimum(df, n) + 1)) / np.log(n + 1 + (n == 0))).astype(np.float32)
+    share = np.clip((df - df.mean()) / max(n, 1), RARE, 1)
+    return (1 + np.log(share) / np.log(RARE)).astype(np.float32)
 
 
 def components(links: DataFrame, vertices: DataFrame) -> DataFrame:

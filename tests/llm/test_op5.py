@@ -76,6 +76,60 @@ def test_classes_against_all_pairs(spark):
     assert [r.class_id for r in got if r.doc_id is None] == [want[20]]
 
 
+def test_weights_and_classes_against_counted_tuples(spark):
+    """Shingles as tuples of words with their true document frequencies; pairs within 0.005 of the threshold may go either way."""
+    rows = [(i, t) for i, t in fixture(11) if t and i is not None]
+    rows = list({i: (i, t) for i, t in rows}.values()) + [(1_000 + i, f"u{i} v{i} w{i} x{i} y{i} z{i}") for i in range(150)]
+    bags = {}
+    for i, t in rows:
+        w = t.split()
+        bags[i] = Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else Counter([tuple(w)])
+    df = Counter(s for b in bags.values() for s in b)
+    idf = {s: 1 + math.log(min(1, max(0.01, n / len(rows)))) / math.log(0.01) for s, n in df.items()}
+    got = {r.doc_id: r.class_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    sure, perhaps = {i: i for i in bags}, {i: i for i in bags}
+
+    def root(of, i):
+        while of[i] != i:
+            i = of[i]
+        return i
+
+    met = 0
+    for i in bags:
+        for j in bags:
+            if i < j and (common := bags[i].keys() & bags[j].keys()):
+                low = sum(min(bags[i][s], bags[j][s]) * idf[s] for s in common)
+                both = sum(n * idf[s] for b in (bags[i], bags[j]) for s, n in b.items()) - low
+                for of, least in ((sure, 0.805), (perhaps, 0.795)):
+                    if low / both >= least:
+                        of[root(of, i)] = root(of, j)
+                met += low / both >= 0.805
+    assert met > 10
+    for i in bags:
+        for j in bags:
+            if root(sure, i) == root(sure, j):
+                assert got[i] == got[j]
+            if got[i] == got[j]:
+                assert root(perhaps, i) == root(perhaps, j)
+
+
+def test_a_shingle_weighs_the_same_at_every_size(spark):
+    """One shingle in a tenth of the texts, one in all, one in a single text; a thousand texts and ten thousand."""
+    found = []
+    for n in (1_000, 10_000):
+        texts = spark.range(n).selectExpr("concat('a b c d e ', case when id % 10 = 0 then 'f g h i j ' else '' end, 'p', id, ' q r s t') AS text")
+        idf = inverse_frequencies(texts)
+        at = lambda t: float(idf[near_dedup._bucket(shingles(*text_bytes(pa.array([t])))[1])[0]])
+        found.append((at("a b c d e"), at("f g h i j"), at("p7 q r s t")))
+    assert found[0] == pytest.approx((1, 1.5, 2), abs=0.02)
+    assert found[1] == pytest.approx(found[0], abs=0.02)
+
+
+def test_batches_of_many_rows_are_cut():
+    batch = pa.RecordBatch.from_arrays([pa.array([""] * 70_000)], ["text"])
+    assert [b.num_rows for b in near_dedup.chunks(iter([batch]))] == [32_768, 32_768, 4_464]
+
+
 @pytest.mark.parametrize("many", [1_500, 4])
 def test_drifting_copies_and_divided_buckets(spark, monkeypatch, many):
     """Copies of copies: members of a class are far from each other, and classes lie close together."""
