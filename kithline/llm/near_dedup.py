@@ -31,6 +31,7 @@ size of a corpus; a rare shingle that falls into a common one's bucket takes the
 Result: one row per input row with key and class_id (the least key of the class). Nulls and empty texts
 have no shingles: they are copies of each other and of nothing else. Repeated rows are copies. A row
 with a null key is compared like any other and takes the least key of its class that isn't null.
+Texts and classes of more than a thousandth of all rows get their names by broadcast (spread_join).
 Further columns are not carried. Texts are told apart by their MD5, and numbered.
 """
 
@@ -50,6 +51,7 @@ SHINGLE, THRESHOLD = 5, 0.8
 IDF_BITS, RARE = 18, 0.01
 BANDS, ROWS = 20, 5
 MANY, DEVIATIONS = 1_500, 5
+HOT = 1_000
 _TABLE_BITS = 16
 
 
@@ -349,18 +351,28 @@ def compare_pairs(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFr
     return both.mapInArrow(_compare(idf), "a bigint, b bigint, similarity double").groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
 
 
+def spread_join(rows: DataFrame, of_key: DataFrame, on: str) -> DataFrame:
+    """rows with what of_key says of their key, n being its number of rows. Keys of more than 1 / HOT of all rows, fewer than HOT, are broadcast, so that no task gets all rows of one."""
+    hot = F.col("n") > rows.count() / HOT
+    often = of_key.where(hot).drop("n")
+    rest = rows.join(F.broadcast(often.select(on)), on, "left_anti").join(of_key.where(~hot).drop("n"), on)
+    return rows.join(F.broadcast(often), on).unionByName(rest)
+
+
 def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key and class_id of every row."""
     rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("copy", F.md5("text")).withColumn("uid", identity(rows, ["key"])[0])
     member = shelve(rows.select("key", "copy", "uid", (F.col("text") == "").alias("blank")))
     # one row a text: uid and copy find it among the rows, number stands for it from here on
-    first = shelve(member.groupBy("copy").agg(F.min("uid").alias("uid"), F.first("blank").alias("blank")).withColumn("number", F.monotonically_increasing_id()))
+    first = shelve(member.groupBy("copy").agg(F.min("uid").alias("uid"), F.first("blank").alias("blank"), F.min("key").alias("least"), F.count("*").alias("n")).withColumn("number", F.monotonically_increasing_id()))
     of_text = first.where("not blank").select("uid", "copy", "number")
     texts = rows.select("uid", "copy", "text").join(of_text, ["uid", "copy"]).select(F.col("number").alias("uid"), "text")
     idf = inverse_frequencies(rows.select("text"))
     signed = rows.select("uid", "copy", "text").mapInArrow(_sign(idf), "uid bigint, copy string, sketch binary, bands array<bigint>")
-    signed = shelve(signed.join(of_text, ["uid", "copy"]).select(F.col("number").alias("uid"), "sketch", "bands").dropDuplicates(["uid"]))
+    signed = shelve(signed.join(of_text, ["uid", "copy"]).select(F.col("number").alias("uid"), "sketch", "bands").groupBy("uid").agg(F.first("sketch").alias("sketch"), F.first("bands").alias("bands"), F.count("*").alias("rows")))
+    if not signed.where("rows > 1").isEmpty():  # rows with equal keys and texts, of which each pair would meet
+        texts = texts.dropDuplicates(["uid"])
     buckets = shelve(buckets_of(signed))
     every = first.select(F.col("number").alias("uid"))
     least = threshold - DEVIATIONS * (threshold * (1 - threshold) / (BANDS * ROWS)) ** 0.5
@@ -379,12 +391,13 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, key: str = "doc
     if not buckets.where(F.col("m") > MANY).isEmpty():
         links = shelve(links.unionByName(linked(leaders_of(buckets, comp), comp)).distinct())
         comp = shelve(components(links, every))
-    more = shelve(of_groups(tiles_of(buckets, comp), comp, texts.dropDuplicates(["uid"])))
+    more = shelve(of_groups(tiles_of(buckets, comp), comp, texts))
     if not more.isEmpty():
         comp = shelve(components(links.unionByName(more).distinct(), every))
     unshelve(signed, buckets, links, more)
-    of_copy = first.select("copy", F.col("number").alias("uid")).join(comp, "uid").select("copy", "comp")
-    placed = shelve(member.select("key", "copy").join(of_copy, "copy").select("key", "comp"))
-    unshelve(member, first, comp)
-    name = placed.groupBy("comp").agg(F.min("key").alias("class_id"))
-    return placed.join(name, "comp").select(F.col("key").alias(key), "class_id")
+    of_copy = shelve(first.select("copy", F.col("number").alias("uid"), "least", "n").join(comp, "uid").select("copy", "comp", "least", "n"))
+    unshelve(first, comp)
+    name = shelve(of_copy.groupBy("comp").agg(F.min("least").alias("class_id"), F.count("*").alias("n")))
+    named = shelve(spread_join(of_copy.select("comp", "copy", F.col("n").alias("n_rows")), name, "comp").select("copy", "class_id", F.col("n_rows").alias("n")))
+    unshelve(of_copy, name)
+    return spread_join(member.select("key", "copy"), named, "copy").select(F.col("key").alias(key), "class_id")

@@ -125,6 +125,22 @@ def test_a_shingle_weighs_the_same_at_every_size(spark):
     assert found[1] == pytest.approx(found[0], abs=0.02)
 
 
+def test_equal_rows_of_two_near_copies(spark):
+    """Rows without a key and with equal texts are one text to all comparisons; each row is in the result."""
+    words = [f"w{i}" for i in range(200)]
+    near = [*words[:100], "other", *words[101:]]
+    rows = [(None, " ".join(words))] * 3_000 + [(None, " ".join(near))] * 3_000 + [(7, " ".join(near)), (9, "some other text of its own")]
+    got = Counter((r.doc_id, r.class_id) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect())
+    assert got == {(None, 7): 6_000, (7, 7): 1, (9, 9): 1}
+
+
+def test_hot_keys_meet_by_broadcast(spark):
+    rows = spark.range(3_000).selectExpr("id", "if(id % 3 = 0, -1, id % 1500) AS k")
+    of_key = rows.groupBy("k").count().selectExpr("k", "k * 2 AS twice", "count AS n")
+    got = near_dedup.spread_join(rows, of_key, "k").collect()
+    assert len(got) == 3_000 and all(r.twice == 2 * r.k for r in got) and len({r.id for r in got}) == 3_000
+
+
 def test_batches_of_many_rows_are_cut():
     batch = pa.RecordBatch.from_arrays([pa.array([""] * 70_000)], ["text"])
     assert [b.num_rows for b in near_dedup.chunks(iter([batch]))] == [32_768, 32_768, 4_464]
