@@ -126,10 +126,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 _BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 _POWERS: dict[int, np.ndarray] = {}
+keep("powers", _POWERS.clear)
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers, modulo 2**64, of the hash's base and of its inverse; kept unless one text is very long."""
+    """The first n powers, modulo 2**64, of the hash's base and of its inverse; kept (32 MB at most) unless one text is longer than a chunk."""
     size = 1 << max(16, (n - 1).bit_length())
     found = []
     for base in (_BASE, _INVERSE):
@@ -137,7 +138,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             steps = np.full(size, base, U64)
             steps[0] = 1
             table = np.cumprod(steps)
-            if size <= 4 * CHUNK_BYTES:
+            if size <= CHUNK_BYTES:
                 _POWERS[base] = table
         found.append(table)
     return found[0], found[1]

@@ -36,10 +36,9 @@ from .common import U64, arrow, chunks, keep, worker
 MARK = "▁"
 SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Bytes of segments and their ids, with what Python adds to each, that a worker remembers; the older half is dropped when they are full.
-REMEMBERED_BYTES = 64 << 20
+REMEMBERED_BYTES = 32 << 20
 #: Longer segments have an agenda of their own.
 LONG = 40
-PAIR_BITS = 19
 NONE = np.int32(2**31 - 1)
 
 
@@ -120,13 +119,14 @@ class Codec:
         self.tables = []
         while len(keys):
             odd = U64(0x9E3779B97F4A7C15 + 2 * len(self.tables) * 0x51ED27)
-            at = (keys.astype(U64) * odd >> U64(64 - PAIR_BITS)).astype(np.int64)
-            held, value = np.full(1 << PAIR_BITS, -1, np.int64), np.full(1 << PAIR_BITS, NONE, np.int32)
+            bits = len(keys).bit_length() + 2
+            at = (keys.astype(U64) * odd >> U64(64 - bits)).astype(np.int64)
+            held, value = np.full(1 << bits, -1, np.int64), np.full(1 << bits, NONE, np.int32)
             held[at], value[at] = keys, ranks
             left_out = held[at] != keys
-            shared = np.zeros(1 << PAIR_BITS, bool)  # places whose other pairs are in the next table
+            shared = np.zeros(1 << bits, bool)  # places whose other pairs are in the next table
             shared[at[left_out]] = True
-            self.tables.append((odd, held, value, shared))
+            self.tables.append((odd, U64(64 - bits), held, value, shared))
             keys, ranks = keys[left_out], ranks[left_out]
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -134,9 +134,9 @@ class Codec:
         key = (left << 21 | right).ravel()
         out = np.full(len(key), NONE, np.int32)
         todo = None
-        for odd, held, value, shared in self.tables:
+        for odd, shift, held, value, shared in self.tables:
             k = key if todo is None else key[todo]
-            at = (k.view(U64) * odd >> U64(64 - PAIR_BITS)).view(np.int64)
+            at = (k.view(U64) * odd >> shift).view(np.int64)
             hit = held[at] == k
             here = np.flatnonzero(hit)
             out[here if todo is None else todo[here]] = value[at[here]]
