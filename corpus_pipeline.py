@@ -5,7 +5,8 @@ the columns of documents. run() applies them to documents, each stage written an
 
 Rows are told apart by two 64-bit hashes of all their columns, so null and repeated doc_ids do no harm;
 rows that are equal in every column are treated alike. Further columns stay as they are, whatever their
-names and types: what a stage adds for itself has a name that no column has.
+names and types: what a stage adds for itself has a name that no column has. The session's Arrow batches
+are made smaller, if they are larger than BATCH_ROWS, and stay so.
 """
 
 from __future__ import annotations
@@ -20,6 +21,15 @@ from kithline.llm.near_dedup import near_duplicates
 from kithline.llm.piece_codec import encode_decode, read_model
 from kithline.llm.substring_dedup import remove_repeats
 
+BATCH_ROWS = 1_000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Arrow batches of BATCH_ROWS at most in this session: a batch lies in the JVM and in its worker at once, and a step takes 2 MB of it at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
 
 def _marked(docs: DataFrame) -> tuple[DataFrame, str]:
     """docs with a column that tells its rows apart, and that column's name."""
@@ -35,6 +45,7 @@ def _kept(marked: DataFrame, mark: str, kept: DataFrame) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; those without a letter, or with no likely language, go. lang is the label that is learned from, by other documents only."""
+    _small_batches(spark)
     none = F.lit(None).cast("string")
     marked, mark = _marked(docs)
     records = marked.select(F.col(mark).alias("k"), "text", none.alias("declared"), F.col("source").alias("host"), none.alias("hint"))
@@ -44,6 +55,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates: the one with the least doc_id."""
+    _small_batches(spark)
     marked, mark = _marked(docs)
     keyed = marked.select(F.struct("doc_id", F.col(mark).alias("mark")).alias("k"), "text")
     first = near_duplicates(keyed, key="k").where("k = class_id").select(F.col("k.mark").alias("k"))
@@ -52,6 +64,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of repeated windows of 35; one of which nothing is left goes, one without any stays as it is."""
+    _small_batches(spark)
     others = [c for c in docs.columns if c not in ("text", "n_chars")]
     made = remove_repeats(docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("k"), "text"), key="k", layout=True).where("n_removed = 0 OR n_removed < n_words")
     made = made.select("k.*", F.col("kept").alias("text")).withColumn("n_chars", F.char_length("text").cast("bigint"))
@@ -60,6 +73,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
+    _small_batches(spark)
     marked, mark = _marked(docs)
     taken = mix_sources(marked, key=mark).groupBy(F.col(mark).alias("k")).agg(F.sum("copies").alias("copies")).where("copies > 0")
     one = _kept(marked, mark, taken).dropDuplicates(["k"]).join(taken, "k")
@@ -68,6 +82,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids and the digest of what they decode to."""
+    _small_batches(spark)
     import public_tokenizers
 
     made = encode_decode(docs, read_model(public_tokenizers.path("piece_bpe_32k.model")))
