@@ -11,6 +11,7 @@ from ..functions import keys as K
 from ..functions import normalize as N
 from ..functions import similarity as S
 from ..operators import blocking as B
+from ..operators import cells as C
 from ..operators import evaluation as E
 from ..operators import features as X
 from ..operators import inspect as I
@@ -94,7 +95,7 @@ def block_scores(spark, d):
 
 
 def candidates_topk(spark, d):
-    return B.top_candidates(block_scores(spark, d), KEPT).select("s1_id", "cand_id", "score", "rank")
+    return C.best_candidates(*fx.sources(spark, d), KEPT).select("s1_id", "cand_id", "score", "rank")
 
 
 def _lists(spark, d):
@@ -115,7 +116,7 @@ def E_round(df):
 
 
 def _pairs(sources, k=KEPT):
-    return B.top_candidates(B.scores(*sources), k).select("s1_id", "cand_id", "score")
+    return C.best_candidates(*sources, k).select("s1_id", "cand_id", "score")
 
 
 def label_pairs(spark, d):
@@ -150,9 +151,9 @@ def group_split(spark, d):
 
 def _name_pairs(spark, d):
     """Names and addresses of each record and its best candidates."""
-    s1, corpus = fx.sources(spark, d)
-    of = lambda r, i, p: r.select(F.col("entity_id").alias(i), F.col("business_name_core").alias(f"{p}_name"), F.col("business_address_clean").alias(f"{p}_addr"))
-    return _pairs((s1, corpus), FEW).join(of(s1, "s1_id", "l"), "s1_id").join(of(corpus, "cand_id", "r"), "cand_id")
+    pairs = C.best_candidates(*fx.sources(spark, d), FEW, carry=["business_name_core", "business_address_clean"])
+    names = {f"{p}_{to}": F.col(f"{p}_{c}") for p in "lr" for c, to in (("business_name_core", "name"), ("business_address_clean", "addr"))}
+    return pairs.withColumns(names)
 
 
 def jaccard(spark, d):
