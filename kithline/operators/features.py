@@ -21,6 +21,15 @@ RAW_FEATURES = [
     "addr_len_diff_ratio", "addr_exact_match", "addr_digit_jaccard", "country_match", "country_both_known", "source_is_s3",
 ]
 
+# Columns of cleaned records that the clean path reads.
+CLEAN_FIELDS = ["business_name_core", "business_name_blockkey", "business_address_clean", "postal_code", "legal_suffix", "country"]
+
+# Features that are overlaps of two sets: a record's column, and n of its n-grams (0: tokens).
+CLEAN_OVERLAPS = {
+    "name_jaccard": ("business_name_core", 0), "name_ngram3_sim": ("business_name_core", 3), "name_ngram2_sim": ("business_name_core", 2),
+    "addr_jaccard": ("business_address_clean", 0), "addr_ngram3_sim": ("business_address_clean", 3),
+}
+
 
 def lookup(df: DataFrame, fields: list[str]) -> DataFrame:
     """One row for each entity_id; of several, the last in the order of their fields."""
@@ -44,13 +53,18 @@ def _joined(pairs: DataFrame, left: DataFrame, right: DataFrame, fields: list[st
 
 
 def _named(df: DataFrame, keep: list[str], osa: list[tuple[Column, Column]], lcs: list[tuple[Column, Column]], made: dict[str, Column], order: list[str]) -> DataFrame:
+    made |= {c: F.col(c) for c in made if c in df.columns}  # worked out where the pairs were made
     df = df.withColumns({"_osa": S.osa_distances(osa), "_lcs": S.lcs_lengths(lcs)})
     return df.select(*keep, *[made[c].cast("float").alias(c) for c in order])
 
 
 def clean_features(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     """pairs with the 22 features of the clean path."""
-    df = _joined(pairs, left, right, ["business_name_core", "business_name_blockkey", "business_address_clean", "postal_code", "legal_suffix", "country"])
+    return clean_features_of(_joined(pairs, left, right, CLEAN_FIELDS), pairs.columns)
+
+
+def clean_features_of(df: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns to keep and the 22 features, from pairs that have the CLEAN_FIELDS of both records as l_* and r_*."""
     of = lambda c: (F.col(f"l_{c}"), F.col(f"r_{c}"))
     name, key, addr, postal, suffix, country = map(of, ("business_name_core", "business_name_blockkey", "business_address_clean", "postal_code", "legal_suffix", "country"))
     osa, lcs = [F.get("_osa", F.lit(i)) for i in range(3)], [F.get("_lcs", F.lit(i)) for i in range(2)]
@@ -62,17 +76,26 @@ def clean_features(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataF
         "postal_match": S.exact(*postal), "postal_both_present": S.both_present(*postal), "legal_suffix_match": S.exact(*suffix), "legal_suffix_both_present": S.both_present(*suffix),
         "country_match": S.exact(*country), "country_both_known": S.both_present(*country), "source_is_s3": F.col("cand_id").startswith("S3-").cast("double"),
     }
-    return _named(df, pairs.columns, [name, key, addr], [name, addr], made, CLEAN_FEATURES)
+    return _named(df, keep, [name, key, addr], [name, addr], made, CLEAN_FEATURES)
+
+
+def raw_fields() -> dict[str, Column]:
+    """name, address and country of the raw path, from the raw columns."""
+    return {"name": raw_name(F.col("business_name")), "address": raw_address(F.col("business_address")), "country": raw_country(F.col("country"))}
 
 
 def raw_records(df: DataFrame) -> DataFrame:
     """entity_id with name, address and country of the raw path."""
-    return df.select("entity_id", raw_name(F.col("business_name")).alias("name"), raw_address(F.col("business_address")).alias("address"), raw_country(F.col("country")).alias("country"))
+    return df.select("entity_id", *[made.alias(c) for c, made in raw_fields().items()])
 
 
 def raw_features(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     """pairs with the 19 features of the raw path; left and right: raw_records."""
-    df = _joined(pairs, left, right, ["name", "address", "country"])
+    return raw_features_of(_joined(pairs, left, right, ["name", "address", "country"]), pairs.columns)
+
+
+def raw_features_of(df: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns to keep and the 19 features, from pairs that have name, address and country of both raw_records as l_* and r_*."""
     of = lambda c: (F.col(f"l_{c}"), F.col(f"r_{c}"))
     name, addr, country = of("name"), of("address"), of("country")
     sorted_ = tuple(map(S.sorted_tokens, name))
@@ -85,4 +108,4 @@ def raw_features(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFra
         "addr_ngram3_sim": S.ngram_similarity(*addr), "addr_len_diff_ratio": S.length_difference(*addr), "addr_exact_match": S.exact(*addr), "addr_digit_jaccard": S.exact(*digits),
         "country_match": S.exact(*country), "country_both_known": S.both_present(*country), "source_is_s3": F.col("cand_id").startswith("S3-").cast("double"),
     }
-    return _named(df, pairs.columns, [name, sorted_, addr], [name, addr], made, RAW_FEATURES)
+    return _named(df, keep, [name, sorted_, addr], [name, addr], made, RAW_FEATURES)

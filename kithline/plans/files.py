@@ -9,7 +9,6 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import functions as F
 
-from ..functions import similarity as S
 from ..functions.normalize import clean_records
 from ..operators import features as X
 from ..operators import labels as L
@@ -17,7 +16,7 @@ from ..operators import matching as M
 from ..sources import tables as T
 from ..sources.settled import shared_dir
 from . import fixtures as fx
-from .queries import _name_pairs, label_pairs
+from .queries import _overlaps, label_pairs
 
 #: Threshold of the kept matcher, and the one that a caller gives instead.
 KEPT_AT, GIVEN_AT = 0.5, 0.35
@@ -98,9 +97,9 @@ def raw_lookup(spark, d):
 
 def _scored(spark, d):
     one = lambda c: c.cast("float").cast("double")
-    of = {f"{k}_jaccard": one(S.jaccard(F.col(f"l_{k}"), F.col(f"r_{k}"))) for k in ("name", "addr")}
+    of = ("name_jaccard", "addr_jaccard")
     s1, _ = fx.sources(spark, d, clean=False)
-    return s1, _name_pairs(spark, d).withColumns(of).select("s1_id", "cand_id", *of)
+    return s1, _overlaps(spark, d, *of).select("s1_id", "cand_id", *[one(F.col(c)).alias(c) for c in of])
 
 
 def _kept_matcher(spark):

@@ -156,12 +156,17 @@ def _name_pairs(spark, d):
     return pairs.withColumns(names)
 
 
+def _overlaps(spark, d, *names):
+    """Overlaps of each record and its best candidates, by their names as features."""
+    return C.best_candidates(*fx.sources(spark, d), FEW, overlaps={name: X.CLEAN_OVERLAPS[name] for name in names})
+
+
 def jaccard(spark, d):
-    return _name_pairs(spark, d).select("s1_id", "cand_id", F.round(S.jaccard(F.col("l_addr"), F.col("r_addr")), 9).alias("sim"))
+    return _overlaps(spark, d, "addr_jaccard").select("s1_id", "cand_id", F.round("addr_jaccard", 9).alias("sim"))
 
 
 def ngram_sim(spark, d):
-    return _name_pairs(spark, d).select("s1_id", "cand_id", F.round(S.ngram_similarity(F.col("l_name"), F.col("r_name")), 9).alias("sim"))
+    return _overlaps(spark, d, "name_ngram3_sim").select("s1_id", "cand_id", F.round("name_ngram3_sim", 9).alias("sim"))
 
 
 def lcs_ratio(spark, d):
@@ -199,13 +204,17 @@ def _rounded(df, names):
 
 
 def features_clean(spark, d):
-    s1, corpus = fx.sources(spark, d)
-    return _rounded(X.clean_features(_pairs((s1, corpus), FEW), s1, corpus), X.CLEAN_FEATURES)
+    pairs = C.best_candidates(*fx.sources(spark, d), FEW, carry=X.CLEAN_FIELDS, overlaps=X.CLEAN_OVERLAPS)
+    return _rounded(X.clean_features_of(pairs, ["s1_id", "cand_id"]), X.CLEAN_FEATURES)
 
 
 def features_raw(spark, d):
-    s1, corpus = fx.sources(spark, d, clean=False)
-    return _rounded(X.raw_features(_pairs(fx.sources(spark, d), FEW), X.raw_records(s1), X.raw_records(corpus)), X.RAW_FEATURES)
+    raw = {f"raw_{c}": made for c, made in X.raw_fields().items()}  # cleaned records have their raw columns still
+    s1, corpus = (side.withColumns(raw) for side in fx.sources(spark, d))
+    as_raw = {"business_name_core": "raw_name", "business_address_clean": "raw_address"}
+    pairs = C.best_candidates(s1, corpus, FEW, carry=list(raw), overlaps={name: (as_raw[c], n) for name, (c, n) in X.CLEAN_OVERLAPS.items()})
+    pairs = pairs.withColumnsRenamed({f"{p}_raw_{c}": f"{p}_{c}" for p in "lr" for c in X.raw_fields()})
+    return _rounded(X.raw_features_of(pairs, ["s1_id", "cand_id"]), X.RAW_FEATURES)
 
 
 def record_lookup(spark, d):
@@ -218,9 +227,8 @@ def record_lookup(spark, d):
 
 def _surrogate(spark, d):
     """A score that stands in for a model's: the mean of two similarities."""
-    p = _name_pairs(spark, d)
-    mean = (S.jaccard(F.col("l_addr"), F.col("r_addr")) + S.ngram_similarity(F.col("l_name"), F.col("r_name"))) / 2
-    return p.select("s1_id", "cand_id", F.round(mean, 6).alias("score"))
+    mean = (F.col("addr_jaccard") + F.col("name_ngram3_sim")) / 2
+    return _overlaps(spark, d, "addr_jaccard", "name_ngram3_sim").select("s1_id", "cand_id", F.round(mean, 6).alias("score"))
 
 
 def macro_f05(spark, d):

@@ -3,7 +3,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from kithline.functions import similarity as S
 from kithline.operators import blocking as B
 from kithline.operators import cells as C
 from kithline.plans import files
@@ -42,6 +44,17 @@ def test_carried_columns_are_those_of_a_join_and_repeated_records_give_repeated_
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
+@pytest.mark.parametrize("countries", [("US", "France", None), ("US",)])
+def test_overlaps_are_those_of_the_jvm(spark, countries):
+    queries, corpus = (records(spark, x, n, n, countries).na.fill("") for x, n in (("q", 50), ("c", 150)))
+    asked = {"t": ("business_address_clean", 0), "g2": ("business_name_core", 2), "g3": ("business_address_clean", 3)}
+    got = C.best_candidates(queries, corpus, 9, carry=["business_name_core", "business_address_clean"], overlaps=asked)
+    made = {"t": S.jaccard(F.col("l_business_address_clean"), F.col("r_business_address_clean")), "g2": S.ngram_similarity(F.col("l_business_name_core"), F.col("r_business_name_core"), 2)}
+    made["g3"] = S.ngram_similarity(F.col("l_business_address_clean"), F.col("r_business_address_clean"))
+    assert got.count() > 200 and got.where(" or ".join(f"{c} > 0 and {c} < 1" for c in made)).count() > 100
+    assert got.select(*asked, *[x.alias(f"{c}_") for c, x in made.items()]).where("t <> t_ or g2 <> g2_ or g3 <> g3_ or t + g2 + g3 is null").count() == 0
+
+
 def test_ids_of_several_countries_and_no_queries(spark):
     queries, corpus = records(spark, "q", 30, 5), records(spark, "c", 90, 6)
     both = corpus.unionByName(corpus.replace({"US": "France"}, subset=["country"]))
@@ -51,7 +64,7 @@ def test_ids_of_several_countries_and_no_queries(spark):
     assert C.best_candidates(queries, corpus.limit(0), 4, carry=["business_name_core"]).count() == 0
 
 
-@pytest.mark.parametrize("name", ["candidates_topk", "jaccard"])
+@pytest.mark.parametrize("name", ["candidates_topk", "jaccard", "features_clean", "features_raw"])
 def test_pairs_are_not_shuffled(spark, sf_dir, name):
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x and "cand_id" in x.split(")")[0]]
