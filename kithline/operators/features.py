@@ -59,8 +59,8 @@ def _named(df: DataFrame, keep: list[str], osa: list[tuple[Column, Column]], lcs
 
 
 def clean_features(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-    """pairs with the 22 features of the clean path."""
-    return clean_features_of(_joined(pairs, left, right, CLEAN_FIELDS), pairs.columns)
+    """pairs with the 22 features of the clean path; those of CLEAN_OVERLAPS that pairs already have stay."""
+    return clean_features_of(_joined(pairs, left, right, CLEAN_FIELDS), [c for c in pairs.columns if c not in CLEAN_FEATURES])
 
 
 def clean_features_of(df: DataFrame, keep: list[str]) -> DataFrame:

@@ -18,7 +18,7 @@ from ..operators import inspect as I
 from ..operators import labels as L
 from ..operators import matching as M
 from ..operators import validate as V
-from ..sources.settled import shelve
+from ..sources.settled import shelve, unshelve
 from . import fixtures as fx
 
 #: Candidates of a record that the feature queries look at, and that the list queries keep: blocking's own default.
@@ -275,11 +275,12 @@ def unknown_candidates(spark, d):
 def model_fit_predict(spark, d):
     """Fit on sampled pairs, tune, score and assemble: one row for each S1 record."""
     s1, corpus = fx.sources(spark, d)
-    pairs = shelve(_pairs((s1, corpus)).select("s1_id", "cand_id"))
+    pairs = shelve(C.best_candidates(s1, corpus, KEPT, overlaps=X.CLEAN_OVERLAPS).drop("score", "rank"))
     truth = fx.truth(spark, d)
-    featured = X.clean_features(pairs, s1, corpus)
+    featured = X.clean_features_of(C.best_candidates(s1, corpus, KEPT, carry=X.CLEAN_FIELDS, overlaps=X.CLEAN_OVERLAPS), ["s1_id", "cand_id"])
     train = X.clean_features(L.sampled(pairs, truth), s1, corpus)
     matcher, _ = M.fit(train, truth, X.CLEAN_FEATURES)
+    unshelve(pairs)
     return M.predict(matcher, featured, s1)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kithline.functions import similarity as S
 from kithline.operators import blocking as B
 from kithline.operators import cells as C
+from kithline.operators import features as X
 from kithline.plans import files
 from kithline.plans.queries import QUERIES as PLAIN
 
@@ -64,7 +65,15 @@ def test_ids_of_several_countries_and_no_queries(spark):
     assert C.best_candidates(queries, corpus.limit(0), 4, carry=["business_name_core"]).count() == 0
 
 
-@pytest.mark.parametrize("name", ["candidates_topk", "jaccard", "features_clean", "features_raw"])
+@pytest.mark.parametrize("name", ["candidates_topk", "jaccard", "features_clean", "features_raw", "kept_model_predict", "lcs_ratio", "match_cap", "macro_f05", "matched_counts", "matches_assemble", "osa_ratio", "pair_flags", "ngram_sim", "set_extensions", "token_sort_ratio"])
 def test_pairs_are_not_shuffled(spark, sf_dir, name):
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x and "cand_id" in x.split(")")[0]]
+
+
+def test_overlaps_that_pairs_have_are_not_worked_out_again(spark):
+    fields = {c: "" for c in X.CLEAN_FIELDS}
+    records = spark.createDataFrame([{"entity_id": "a"} | fields])
+    pairs = spark.createDataFrame([("a", "a", 0.25)], "s1_id string, cand_id string, addr_jaccard double")
+    row = X.clean_features(pairs, records, records).first()
+    assert row.addr_jaccard == 0.25 and row.name_jaccard == 1.0
