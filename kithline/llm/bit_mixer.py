@@ -4,10 +4,10 @@ A text is the sequence of its UTF-8 bytes and a closing 255; a byte is eight bin
 order in ORDERS there is a predictor for that many bytes before and the bits of this byte so far: how
 often a 0 and a 1 came there in all learning texts. Their log-odds are combined by a set of weights
 gated by bit position and by how much the predictors have seen; an adaptive table then maps the mixed
-log-odds to the frequency met. Weights and table are fitted online, in small steps in reading order, on
-pieces of PIECE bytes of the learning texts, SAMPLE_BYTES in all (a parameter: what is fitted on one
-machine). Pieces are drawn by a hash of text and place, from texts of any length alike; the counts of
-the pieces themselves are taken off the predictors meanwhile.
+log-odds to the frequency met. Weights and table are fitted on every byte of all learning texts: equal
+windows have equal predictors, so a byte counts by its window and how often that was learned. PASSES Newton
+steps from even weights, each from sums over all windows (a few thousand numbers); the table has the
+frequencies of the last pass. Of each window's counts its own occurrence is taken off meanwhile.
 
 The counts are exact, and their table grows with the corpus: one row for each distinct window (a byte
 and the five before it), from a grouped sum. All predictors are sums over windows that share their last
@@ -37,8 +37,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import U64, arrow, chunks, keep, mix, owners, shelve, text_bytes, unshelve, words, worker
+from .common import U64, arrow, chunks, keep, owners, shelve, text_bytes, unshelve, words, worker
 
 #: Bytes before that address a predictor; "word": those of the present word, as far as REACH goes.
 ORDERS = (1, 2, 3, 4, 5, "word")
@@ -47,7 +48,8 @@ GATES = (3, 4, 5)
 #: Of a small model that is given as a table of hashed predictors (see Mixer).
 SLOT_BITS = 20
 REACH = 6
-SAMPLE_BYTES, PIECE = 400_000, 1_000
+#: Newton steps, and how much a weight is held to where it began, in bits seen.
+PASSES, RIDGE = 3, 20.0
 #: Rows of a batch that goes back to Spark.
 _ROWS = 100_000
 HEAD = 65_536
@@ -61,20 +63,17 @@ _STEPS = 33
 def windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(each byte and closing 255 with the bytes before it, as one number; text's row)."""
     n = len(offsets) - 1
-    size = np.diff(offsets)
     pad = REACH - 1
-    flat = np.zeros(len(data) + n * (pad + 1), np.uint8)
-    row = np.repeat(np.arange(n), size + 1)
-    place = np.arange(len(row)) + (row + 1) * pad
-    last = np.cumsum(size + 1) - 1
-    body = np.ones(len(row), bool)
-    body[last] = False
-    flat[place[body]] = data
-    flat[place[last]] = 255
-    win = np.zeros(len(row), U64)
-    for j in range(REACH):
-        win |= flat[place - j].astype(U64) << U64(8 * j)
-    return win, row
+    last = offsets[1:] + np.arange(n) * (pad + 1)  # of each closing byte; behind it zeros, which the next text has before it
+    flat = np.zeros(pad + len(data) + n * (pad + 1), np.uint8)
+    here = flat[pad:]
+    body = np.ones(len(here), bool)
+    body[(last[:, None] + np.arange(pad + 1)).ravel()] = False
+    here[body], here[last], body[last] = data, 255, True
+    win = here.astype(U64)
+    for j in range(1, REACH):
+        win |= flat[pad - j : pad - j + len(here)].astype(U64) << U64(8 * j)
+    return win[body], np.repeat(np.arange(n), np.diff(offsets) + 1)
 
 
 def contexts(win: np.ndarray) -> list[np.ndarray]:
@@ -109,8 +108,8 @@ def _word_mask(before: np.ndarray) -> np.ndarray:
 
 
 def _distinct(win: np.ndarray, *weights: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Sorted distinct windows and the sums of their weights."""
-    order = np.argsort(win)
+    """Sorted distinct windows and the sums of their weights; quick where the windows are a few sorted runs."""
+    order = np.argsort(win, kind="stable")
     win = win[order]
     head = np.flatnonzero(np.concatenate([[True], win[1:] != win[:-1]])) if len(win) else np.empty(0, np.int64)
     return win[head], *(np.add.reduceat(w[order], head) if len(head) else w for w in weights)
@@ -120,23 +119,29 @@ def _distinct(win: np.ndarray, *weights: np.ndarray) -> tuple[np.ndarray, ...]:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each task: distinct windows, how often they came, and how often in learning texts."""
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    size = 0
+    keys: list[np.ndarray] = []
+
+    def settle() -> None:
+        key = np.sort(np.concatenate(keys))
+        keys.clear()
+        win = key >> U64(1)
+        head = np.flatnonzero(np.concatenate([[True], win[1:] != win[:-1]]))
+        held.append((win[head], np.diff(np.append(head, len(win))), np.add.reduceat((key & U64(1)).view(np.int64), head)))
+
     for part in chunks(batches, limit=1 << 19):
         win, row = windows(*text_bytes(part.column(0)))
         taught = part.column(1).to_numpy(zero_copy_only=False).astype(U64)
-        key = np.sort(win << U64(1) | taught[row])
-        if not len(key):
+        keys.append(win << U64(1) | taught[row])
+        if sum(map(len, keys)) < 1 << 21:
             continue
-        win = key >> U64(1)
-        head = np.flatnonzero(np.concatenate([[True], win[1:] != win[:-1]]))
-        held.append((win[head], np.diff(np.append(head, len(win))), np.add.reduceat((key & U64(1)).view(np.int64), head)))
-        size += len(head)
-        if size > 1_200_000:
+        settle()
+        if sum(len(h[0]) for h in held) > 1_200_000:
             held = [_distinct(*map(np.concatenate, zip(*held, strict=True)))]
-            size = len(held[0][0])
-            if size > 800_000:
+            if len(held[0][0]) > 800_000:
                 yield from _sliced(["win", "n", "m"], held[0][0].view(np.int64), held[0][2], held[0][1])
-                held, size = [], 0
+                held = []
+    if keys:
+        settle()
     if held:
         win, m, n = _distinct(*map(np.concatenate, zip(*held, strict=True)))
         yield from _sliced(["win", "n", "m"], win.view(np.int64), n, m)
@@ -147,29 +152,6 @@ def _sliced(names: list[str], *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield arrow(names, [c[at : at + _ROWS] for c in columns])
 
 
-def _pieces(rate: float):
-    """Rows uid, text: to the windows of the pieces whose hash is below the rate."""
-
-    @worker("bit_mixer")
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches):
-            data, offsets = text_bytes(part.column(1))
-            n = np.diff(offsets) // PIECE + 1
-            row = np.repeat(np.arange(len(n)), n)
-            k = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-            place = mix(mix(part.column(0).to_numpy().view(U64))[row] + k.astype(U64))
-            drawn = np.flatnonzero(place.astype(np.float64) < rate * 2.0**64)
-            wins = []
-            for r, i in zip(row[drawn].tolist(), k[drawn].tolist(), strict=True):
-                at, end = int(offsets[r]) + i * PIECE, min(int(offsets[r]) + (i + 1) * PIECE, int(offsets[r + 1]))
-                start = max(int(offsets[r]), at - REACH + 1)
-                win = windows(data[start:end], np.array([0, end - start]))[0][at - start :]
-                wins.append((win if i == n[r] - 1 else win[:-1]).tobytes())  # the last one has the closing byte
-            yield arrow(["place", "wins"], [place[drawn].view(np.int64), pa.array(wins, pa.binary())])
-
-    return run
-
-
 def window_counts(docs: DataFrame) -> DataFrame:
     """(win, n, m): how often each window of the texts (text, learned) came in learning texts, and in all. Grows with the corpus."""
     return docs.select("text", "learned").mapInArrow(_count, "win bigint, n bigint, m bigint").groupBy("win").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
@@ -248,16 +230,21 @@ def _whole_contexts(batches: Iterator[pa.RecordBatch], low: dict) -> Iterator[tu
         yield made(pa.Table.from_batches(held))
 
 
-def _taught(low, wanted):
-    """The wanted windows with their counts (orders 1 to 5 by ORDERS)."""
+def _fitted(low, mixer: Mixer):
+    """Mixer.told of all learned windows of a part, as rows (k, v) of the numbers that are not 0."""
 
     @worker("bit_mixer")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told = np.zeros(_TOLD)
         for win, evidence in _whole_contexts(batches, low.value):
-            some = np.intersect1d(win, wanted.value)
-            for at in range(0, len(some), _STEP):
-                w = some[at : at + _STEP]
-                yield arrow(["win", "counts"], [w.view(np.int64), pa.array([c.tobytes() for c in evidence.of(w)], pa.binary())])
+            own, times = evidence.tables[REACH - 1]  # each window once, and how often it was learned
+            taught = np.flatnonzero(times[:, 8] > 0)
+            for at in range(0, len(taught), _STEP):
+                some = taught[at : at + _STEP]
+                w = own[some]
+                told += mixer.told(w, times[some, 8], evidence.of(w))
+        k = np.flatnonzero(told)
+        yield arrow(["k", "v"], [k, told[k]])
 
     return run
 
@@ -275,31 +262,47 @@ def _mixed(low, mixer: Mixer):
     return run
 
 
+_CELLS, _WIDTH = 8 * 3 ** len(GATES), len(ORDERS) + 1
+_TOLD = _CELLS * (_WIDTH * _WIDTH + _WIDTH + 1) + 8 * 2 * _STEPS
+_EVEN = np.tile(1 / (1 + np.exp(-np.linspace(-8, 8, _STEPS))), (8, 1)).astype(np.float32)
+
+
+def _views(told: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Curvature, slope, loss by cell, and (bit, came or all, place) of the table."""
+    a, b, c = _CELLS * _WIDTH * _WIDTH, _CELLS * _WIDTH * (_WIDTH + 1), _CELLS * (_WIDTH * (_WIDTH + 1) + 1)
+    return told[:a].reshape(_CELLS, _WIDTH, _WIDTH), told[a:b].reshape(_CELLS, _WIDTH), told[b:c], told[c:].reshape(8, 2, _STEPS)
+
+
+def _by_bit(counts: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(np.moveaxis(counts, 2, 0))
+
+
 class Mixer:
     """Gated weights and the adaptive table. `n` is for small models: (orders, 2**SLOT_BITS, 2) hashed predictors, used where no counts are given."""
 
     def __init__(self, n: np.ndarray | None = None):
         self.n = n
-        self.weights = np.full((8 * 3 ** len(GATES), len(ORDERS) + 1), 0.3, np.float32)
+        self.weights = np.full((_CELLS, _WIDTH), 0.3, np.float32)
         self.weights[:, -1] = 0
-        grid = np.linspace(-8, 8, _STEPS)
-        self.table = np.tile(1 / (1 + np.exp(-grid)), (8, 1)).astype(np.float32)
+        self.table = _EVEN.copy()
 
     def inputs(self, win: np.ndarray, bit: int, counts: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """(log-odds of the predictors and a 1, cell of the gate). counts: (9, windows, orders)."""
         if counts is None:
             node = nodes(win, bit)
             seen = np.stack([self.n[k][slots(c, node)] for k, c in enumerate(contexts(win))], axis=1)
             none, one = seen[..., 0], seen[..., 1]
         else:
-            same, all_ = counts[:, :, bit + 1], counts[:, :, bit]
+            same, all_ = counts[bit + 1], counts[bit]
             came = (win >> U64(7 - bit) & U64(1)).astype(bool)[:, None]
             one = np.where(came, same, all_ - same)
             none = all_ - one
         x = np.ones((len(win), len(ORDERS) + 1), np.float32)
         x[:, :-1] = np.log((one + 0.4) / (none + 0.4))
-        gate, level = np.full(len(win), bit), np.digitize(one + none, [1, 8])
+        gate = np.full(len(win), bit)
         for k in GATES:
-            gate = gate * 3 + level[:, k]
+            seen = one[:, k] + none[:, k]
+            gate = gate * 3 + (seen >= 1) + (seen >= 8)
         return x, gate
 
     def probability(self, x: np.ndarray, gate: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -313,22 +316,47 @@ class Mixer:
         refined = self.table[bit, cell] * (1 - part) + self.table[bit, cell + 1] * part
         return mixed, refined, cell, part
 
-    def fit(self, win: np.ndarray, counts: np.ndarray, which: np.ndarray, step: int = 256, rate: float = 0.0003) -> None:
-        """Online: every `step` bytes, weights and table move towards what came. The counts of a window are counts[which]."""
-        for at in range(0, len(win), step):
-            w, seen = win[at : at + step], counts[which[at : at + step]]
-            for bit in range(8):
-                x, gate = self.inputs(w, bit, seen)
-                came = (w >> U64(7 - bit) & U64(1)).astype(np.float32)
-                mixed, _, cell, part = self.probability(x, gate, bit)
-                np.add.at(self.weights, gate, rate * (came - mixed)[:, None] * np.clip(x, -6, 6))
-                for c, share in ((cell, 1 - part), (cell + 1, part)):
-                    moved, mass = np.bincount(c, share * came, _STEPS), np.bincount(c, share, _STEPS)
-                    self.table[bit] += ((moved - mass * self.table[bit]) / (mass + 50)).astype(np.float32)
+    def told(self, win: np.ndarray, n: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Of windows that were learned n times: by cell of the gate the sums of curvature, slope and loss, by place of the table what came and how much. Sums of parts add up."""
+        curve, slope, loss, table = _views(told := np.zeros(_TOLD))
+        counts = _by_bit(counts) - 1  # their own occurrence
+        for bit in range(8):
+            x, gate = self.inputs(win, bit, counts)
+            came = (win >> U64(7 - bit) & U64(1)).astype(np.float64)
+            mixed, _, cell, part = self.probability(x, gate, bit)
+            for c, share in ((cell, n * (1 - part)), (cell + 1, n * part)):
+                table[bit, 0] += np.bincount(c, share * came, _STEPS)
+                table[bit, 1] += np.bincount(c, share, _STEPS)
+            away, weight = n * (mixed - came), n * mixed * (1 - mixed)
+            lost = -n * np.log(np.where(came > 0, mixed, 1 - mixed))
+            order = np.argsort(gate.astype(np.uint8), kind="stable")
+            ends = np.flatnonzero(np.diff(gate[order], append=-1)) + 1
+            for a, b in zip([0, *ends[:-1]], ends, strict=True):
+                some = order[a:b]
+                seen, g = x[some].astype(np.float64), gate[some[0]]
+                curve[g] += seen.T @ (seen * weight[some, None])
+                slope[g] += away[some] @ seen
+                loss[g] += lost[some].sum()
+        return told
+
+    def learn(self, told: np.ndarray, before: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """A Newton step from the sums over all learned windows, and the table of their frequencies. Cells whose last step made it worse take half of that step back instead. Gives (weights, losses) before it."""
+        curve, slope, loss, table = _views(told)
+        even = Mixer().weights.astype(np.float64)
+        now = self.weights.astype(np.float64)
+        own = loss + RIDGE / 2 * ((now - even) ** 2).sum(1)
+        made = now - np.linalg.solve(curve + RIDGE * np.eye(now.shape[1]), (slope + RIDGE * (now - even))[..., None])[..., 0]
+        if before is not None:
+            worse = own > before[1]
+            made[worse] = (now[worse] + before[0][worse]) / 2
+        self.weights = made.astype(np.float32)
+        self.table = ((table[:, 0] + 50 * _EVEN) / (table[:, 1] + 50)).astype(np.float32)
+        return now, own
 
     def log10(self, win: np.ndarray, counts: np.ndarray | None = None) -> np.ndarray:
         """log10 of the chance of each window's last byte."""
         out = np.zeros(len(win))
+        counts = None if counts is None else _by_bit(counts)
         for bit in range(8):
             x, gate = self.inputs(win, bit, counts)
             mixed, refined, _, _ = self.probability(x, gate, bit)
@@ -337,84 +365,89 @@ class Mixer:
         return out
 
 
-_MEMORY: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+_MEMORY: dict[str, tuple[_Known, _Known]] = {}
 keep("bit_mixer", _MEMORY.clear)
 
 
-def _place(win: np.ndarray) -> np.ndarray:
-    return (win * U64(0xD1342543DE82EF95) >> U64(64 - MEMORY_BITS)).view(np.int64)
-
-
-def _of_head(head, name: str):
-    """From windows to (log10 of the chance, whether it is known here): known for the windows of the head."""
-    known, value = head.value
+class _Known:
+    """Values of distinct keys: by two tables of places, and those that find no place of their own by search."""
+
+    def __init__(self, known: np.ndarray, value: np.ndarray):
+        self.tables = []
+        for bits in (MEMORY_BITS, MEMORY_BITS - 1):
+            bits = min(bits, max(1, len(known)).bit_length() + 1)
+            table = np.zeros((1 << bits, 2), U64)
+            at = self._place(known, bits)
+            table[at, 0], table[at, 1] = known + U64(1), value.astype(np.float64).view(U64)  # of keys with one place the last one stays
+            self.tables.append((bits, table))
+            out = table[at, 0] != known + U64(1)
+            known, value = known[out], value[out]
+        self.known, self.value = known, value
+
+    def _place(self, key: np.ndarray, bits: int) -> np.ndarray:
+        return ((key + U64(bits)) * U64(0xD1342543DE82EF95) >> U64(64 - bits)).view(np.int64)
+
+    def look(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(value or 0, whether it is known) of each key."""
+        value, hit, rest = np.zeros(len(key)), np.zeros(len(key), bool), None
+        for bits, table in self.tables:
+            k = key if rest is None else key[rest]
+            got = table.take(self._place(k, bits), axis=0)
+            on = got[:, 0] == k + U64(1)
+            on &= got[:, 0] != U64(0)
+            if rest is None:
+                hit, value = on, np.where(on, got[:, 1], U64(0)).view(np.float64)
+                rest = np.flatnonzero(~on)
+            else:
+                hit[rest[on]], value[rest[on]] = True, got[on, 1].view(np.float64)
+                rest = rest[~on]
+        if len(rest) and len(self.known):
+            k = key[rest]
+            at = np.minimum(np.searchsorted(self.known, k), len(self.known) - 1)
+            on = self.known[at] == k
+            hit[rest[on]], value[rest[on]] = True, self.value[at[on]]
+        return value, hit
+
+
+def _of_head(head, words_of, name: str) -> tuple[_Known, _Known]:
+    """Frequent windows and words with the log10 of their chances."""
     if name not in _MEMORY:
         _MEMORY.clear()
-        first, of_place = np.zeros(1 << MEMORY_BITS, U64), np.zeros(1 << MEMORY_BITS)
-        at = _place(known)
-        first[at], of_place[at] = known + U64(1), value  # of windows with one place the last one stays; the others are searched for
-        _MEMORY[name] = first, of_place
-    first, of_place = _MEMORY[name]
-
-    def look(win: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = _place(win)
-        p, hit = of_place[at], first[at] == win + U64(1)
-        rest = np.flatnonzero(~hit)
-        if len(rest) and len(known):
-            w = win[rest]
-            at = np.minimum(np.searchsorted(known, w), len(known) - 1)
-            found = known[at] == w
-            hit[rest[found]], p[rest[found]] = True, value[at[found]]
-        return p, hit
-
-    return look
+        _MEMORY[name] = _Known(*head.value), _Known(*words_of.value)
+    return _MEMORY[name]
 
 
 def _score(head, words_of, name: str):
-    """Of each text: the sums over its frequent windows and words."""
+    """Of each text: the sums over its frequent windows and words, and its rarer windows and words with how often each comes."""
 
     @worker("bit_mixer")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look = _of_head(head, name)
-        frequent, log_p = words_of.value
+        frequent, frequent_words = _of_head(head, words_of, name)
         for part in chunks(batches, limit=1 << 19):
-            data, offsets = text_bytes(part.column(1))
+            data, offsets = text_bytes(part.column(3))
             win, row = windows(data, offsets)
-            p, hit = look(win)
-            score = np.bincount(row, np.where(hit, p, 0), part.num_rows).astype(float)
-            del win, p, hit
+            p, hit = frequent.look(win)
+            score = np.bincount(row, p, part.num_rows).astype(float)
+            rest = np.flatnonzero(~hit)
+            far, far_n = _by_text(win[rest], row[rest], part.num_rows)
+            del win, p, hit, rest
             w = words(data, offsets, lower=True)
-            row, at, hit = _frequent(w, frequent)
-            base = np.bincount(row[hit], log_p[at[hit]], part.num_rows).astype(float)
-            columns = [part.column(0), np.diff(offsets), score, np.diff(w.first), np.bincount(row[hit], minlength=part.num_rows), base]
-            yield arrow(["uid", "n_bytes", "score", "n_words", "n_frequent", "base"], columns)
+            row, (p, hit) = owners(w.first), frequent_words.look(w.hash)
+            base = np.bincount(row, p, part.num_rows).astype(float)
+            rare, rare_n = _by_text(w.hash[~hit], row[~hit], part.num_rows)
+            columns = [*part.columns[:3], np.diff(offsets), score, np.diff(w.first), np.bincount(row[hit], minlength=part.num_rows), base, far, far_n, rare, rare_n]
+            yield arrow(["key", "learned", "uid", "n_bytes", "score", "n_words", "n_frequent", "base", "far", "far_n", "rare", "rare_n"], columns)
 
     return run
 
 
-def _rare_windows(head, name: str):
-    """Of each text: its rarer windows."""
-
-    @worker("bit_mixer")
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look = _of_head(head, name)
-        for part in chunks(batches, limit=1 << 19):
-            win, row = windows(*text_bytes(part.column(1)))
-            rest = np.flatnonzero(~look(win)[1])
-            win, row = win[rest], row[rest]
-            order = np.lexsort((win, row))
-            win, row = win[order], row[order]
-            first = np.flatnonzero(np.concatenate([[True], (win[1:] != win[:-1]) | (row[1:] != row[:-1])])) if len(win) else np.empty(0, np.int64)
-            yield arrow(["uid", "win", "c"], [part.column(0).take(pa.array(row[first])), win[first].view(np.int64), np.diff(np.append(first, len(win))).astype(np.int64)])
-
-    return run
-
-
-def _frequent(w, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text's row, place among the frequent, whether it is one of them) of each word."""
-    at = np.searchsorted(frequent, w.hash)
-    at[at == len(frequent)] = 0
-    return owners(w.first), at, frequent[at] == w.hash if len(frequent) else np.zeros(len(w.hash), bool)
+def _by_text(value: np.ndarray, row: np.ndarray, n: int) -> tuple[pa.Array, pa.Array]:
+    """For each of n texts the list of its distinct values, and of how often each comes."""
+    order = np.lexsort((value, row))
+    value, row = value[order], row[order]
+    first = np.flatnonzero(np.concatenate([[True], (value[1:] != value[:-1]) | (row[1:] != row[:-1])])) if len(value) else np.empty(0, np.int64)
+    ends = np.searchsorted(row[first], np.arange(n + 1)).astype(np.int32)
+    return tuple(pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (value[first].view(np.int64), np.diff(np.append(first, len(value))).astype(np.int64)))
 
 
 @worker("bit_mixer")
@@ -431,27 +464,6 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _sliced(["h", "n"], h.view(np.int64), n)
 
 
-def _rare_words(words_of):
-    """Of each text: its rarer words, and a row that counts the text."""
-
-    @worker("bit_mixer")
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, _ = words_of.value
-        for part in chunks(batches):
-            w = words(*text_bytes(part.column(1)), lower=True)
-            row, _, hit = _frequent(w, frequent)
-            h, row = w.hash[~hit], row[~hit]
-            order = np.lexsort((h, row))
-            h, row = h[order], row[order]
-            head = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (row[1:] != row[:-1])])) if len(h) else np.empty(0, np.int64)
-            n = np.diff(np.append(head, len(h)))
-            rows = np.concatenate([row[head], np.arange(part.num_rows)])
-            none = np.zeros(part.num_rows, np.int64)
-            yield arrow(["uid", "h", "n", "texts"], [part.column(0).take(pa.array(rows)), np.concatenate([h[head].view(np.int64), none]), np.concatenate([n, none]).astype(np.int64), np.repeat([0, 1], [len(head), part.num_rows])])
-
-    return run
-
-
 def _head(spark, seen: DataFrame, chance: DataFrame):
     """(broadcast (windows, log10 of their chances) of at most HEAD_WINDOWS, the most frequent ones; whether there are others)."""
     level = F.floor(F.log2(F.col("m")) * 8).cast("int")
@@ -467,7 +479,7 @@ def _head(spark, seen: DataFrame, chance: DataFrame):
     return spark.sparkContext.broadcast((win[order], p[order])), size < sum(count for _, count in of_level)
 
 
-def score_texts(df: DataFrame, learn: str, key: str = "doc_id", text: str = "text", sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
+def score_texts(df: DataFrame, learn: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, learned, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte of every row; rows where the SQL condition `learn` holds are learned from."""
     spark = df.sparkSession
     docs = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(F.expr(learn), F.lit(False)).alias("learned"))
@@ -477,16 +489,12 @@ def score_texts(df: DataFrame, learn: str, key: str = "doc_id", text: str = "tex
     seen = shelve(window_counts(docs))
     low = spark.sparkContext.broadcast(_low(seen))
     dealt = seen.select(F.shiftright("win", 8).bitwiseAND((1 << 24) - 1).alias("c"), "win", "n").repartition("c").sortWithinPartitions("c")
-    bytes_ = seen.agg(F.sum("n")).first()[0] or 0
-    drawn = docs.where("learned").select("uid", "text").mapInArrow(_pieces(min(1.0, 1.2 * sample_bytes / max(bytes_, 1))), "place bigint, wins binary").orderBy("place", "wins").toArrow()
-    win = np.frombuffer(b"".join(drawn["wins"].to_pylist()), U64)[:sample_bytes]
-    own, which, times = np.unique(win, return_inverse=True, return_counts=True)
-    mixer = Mixer()
-    if len(own):
-        got = dealt.mapInArrow(_taught(low, spark.sparkContext.broadcast(own)), "win bigint, counts binary").toArrow()
-        learned = np.frombuffer(b"".join(got["counts"].to_pylist())).reshape(len(own), len(ORDERS), 9)[np.argsort(got["win"].to_numpy())]
-        mixer.fit(win, learned - Evidence(own, times).of(own), which)
-        del got, learned
+    mixer, before = Mixer(), None
+    for _ in range(PASSES):
+        sums = dealt.mapInArrow(_fitted(low, mixer), "k bigint, v double").groupBy("k").agg(F.sum("v").alias("v")).toArrow()
+        told = np.zeros(_TOLD)
+        told[sums["k"].to_numpy()] = sums["v"].to_numpy()
+        before = mixer.learn(told, before)
     chance = shelve(dealt.mapInArrow(_mixed(low, mixer), "win bigint, p double"))
     head, rest = _head(spark, seen, chance)
     name = uuid.uuid4().hex
@@ -500,18 +508,21 @@ def score_texts(df: DataFrame, learn: str, key: str = "doc_id", text: str = "tex
     h, log_p = top["h"].to_numpy().view(U64), np.log10(top["n"].to_numpy() + 1.0) - floor
     order = np.argsort(h)
     shared = spark.sparkContext.broadcast((h[order], log_p[order]))
-    of_text = docs.select("uid", "text").mapInArrow(_score(head, shared, name), "uid bigint, n_bytes bigint, score double, n_words bigint, n_frequent bigint, base double")
-    rare = docs.select("uid", "text").mapInArrow(_rare_words(shared), "uid bigint, h bigint, n bigint, texts bigint")
-    rare = rare.join(counts.select("h", F.col("n").alias("c")), "h", "left")
-    rare = rare.groupBy("uid").agg(
-        F.sum(F.col("n") * (F.log10(F.coalesce("c", F.lit(0)) + 1.0) - floor)).alias("rare_base"), F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("n_rare"), F.sum("texts").alias("texts")
-    )
-    far = F.lit(0.0)
+    kind = T.StructType([T.StructField("key", docs.schema["key"].dataType), T.StructField("learned", T.BooleanType())])
+    for type_, fields in ((T.LongType(), ["uid", "n_bytes"]), (T.DoubleType(), ["score"]), (T.LongType(), ["n_words", "n_frequent"]), (T.DoubleType(), ["base"]), (T.ArrayType(T.LongType()), ["far", "far_n", "rare", "rare_n"])):
+        for field in fields:
+            kind = kind.add(field, type_)
+    of_text = shelve(docs.select("key", "learned", "uid", "text").mapInArrow(_score(head, shared, name), kind))
+    listed = lambda c, value: of_text.select("uid", F.explode(F.arrays_zip(c, f"{c}_n")).alias("x")).select("uid", F.col(f"x.{c}").alias(value), F.col(f"x.{c}_n").alias("times"))
+    found = listed("rare", "h").join(counts.select("h", F.col("n").alias("c")), "h", "left")
+    of_word = F.col("times") * (F.log10(F.coalesce("c", F.lit(0)) + 1.0) - floor)
+    more = found.select("uid", of_word.alias("rare_base"), F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0).alias("n_rare"), F.lit(0.0).alias("further"), F.lit(0).alias("texts"))
+    more = more.unionByName(of_text.select("uid", F.lit(0.0).alias("rare_base"), F.lit(0).cast("bigint").alias("n_rare"), F.lit(0.0).alias("further"), F.lit(1).alias("texts")))
     if rest:
-        texts = docs.select("uid", "text").mapInArrow(_rare_windows(head, name), "uid bigint, win bigint, c bigint")
-        rare = rare.join(texts.join(chance, "win").groupBy("uid").agg(F.sum(F.col("c") * F.col("p")).alias("far")), "uid", "left")
-        far = F.coalesce("far", F.lit(0.0)) / F.col("texts")
-    joined = docs.select("key", "learned", "uid").join(rare.withColumn("far", far), "uid").join(of_text.dropDuplicates(["uid"]), "uid").withColumn("score", F.col("score") + F.col("far"))
+        far = listed("far", "win").join(chance, "win")
+        more = more.unionByName(far.select("uid", F.lit(0.0).alias("rare_base"), F.lit(0).cast("bigint").alias("n_rare"), (F.col("times") * F.col("p")).alias("further"), F.lit(0).alias("texts")))
+    rare = more.groupBy("uid").agg(*[F.sum(c).alias(c) for c in ("rare_base", "n_rare", "further", "texts")])
+    joined = of_text.drop("far", "far_n", "rare", "rare_n").join(rare, "uid").withColumn("score", F.col("score") + F.col("further") / F.col("texts"))
     return joined.select(
         F.col("key").alias(key),
         "learned",

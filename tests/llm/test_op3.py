@@ -96,3 +96,32 @@ def test_one_known_byte_before_is_evidence():
     assert chr(int(met[6]) & 255) == "z"
     assert counts.max(axis=1).tolist() == [[9] * 9]
     assert Mixer().log10(met[6:7], counts) > Mixer().log10(met[6:7], counts * 0)
+
+
+def test_weights_are_fitted_on_every_learned_byte(spark, monkeypatch):
+    """Each pass counts all bytes of all learning texts once, also beyond 400 KB, and its slope is that of the loss."""
+    rng = np.random.default_rng(7)
+    rows = [(i, " ".join("".join(rng.choice(list("abcde"), 5)) for _ in range(1500))) for i in range(56)] + [(100, "ab" * 60_000), (101, None)]
+    passes, learn = [], Mixer.learn
+    monkeypatch.setattr(Mixer, "learn", lambda self, told, *more: passes.append(told) or learn(self, told, *more))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert score_texts(df, "doc_id % 7 != 2").count() == len(rows)
+    learned = [(t or "").encode() for i, t in rows if i % 7 != 2]
+    assert sum(map(len, learned)) > 400_000 and len(passes) == bit_mixer.PASSES
+    for told in passes:
+        assert bit_mixer._views(told)[3][:, 1].sum(axis=1) == pytest.approx([sum(len(t) + 1 for t in learned)] * 8)
+
+    own, n = np.unique(windows(np.frombuffer(learned[0], np.uint8), np.array([0, len(learned[0])]))[0], return_counts=True)
+    counts, mixer = bit_mixer.Evidence(own, n).of(own), Mixer()
+    whole, half = mixer.told(own, n, counts), len(own) // 2
+    assert mixer.told(own[:half], n[:half], counts[:half]) + mixer.told(own[half:], n[half:], counts[half:]) == pytest.approx(whole)
+    _, slope, loss, _ = bit_mixer._views(whole)
+    cell, k, step = *np.unravel_index(np.argmax(np.abs(slope)), slope.shape), 1 / 64
+    near = []
+    for sign in (1, -1):
+        moved = Mixer()
+        moved.weights[cell, k] += sign * step
+        near.append(bit_mixer._views(moved.told(own, n, counts))[2][cell])
+    assert (near[0] - near[1]) / (2 * step) == pytest.approx(slope[cell, k], rel=0.05)
+    before = mixer.learn(whole)
+    assert bit_mixer._views(mixer.told(own, n, counts))[2].sum() < loss.sum() == before[1].sum()
