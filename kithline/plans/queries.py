@@ -149,11 +149,13 @@ def group_split(spark, d):
     return fx.sources(spark, d, clean=False)[0].select(F.col("entity_id").alias("s1_id")).withColumn("held", L.in_validation())
 
 
-def _name_pairs(spark, d):
-    """Names and addresses of each record and its best candidates."""
-    pairs = C.best_candidates(*fx.sources(spark, d), FEW, carry=["business_name_core", "business_address_clean"])
-    names = {f"{p}_{to}": F.col(f"{p}_{c}") for p in "lr" for c, to in (("business_name_core", "name"), ("business_address_clean", "addr"))}
-    return pairs.withColumns(names)
+_SHORT = {"name": "business_name_core", "addr": "business_address_clean"}
+
+
+def _text_pairs(spark, d, *names):
+    """Names or addresses, as asked for, of each record and its best candidates."""
+    pairs = C.best_candidates(*fx.sources(spark, d), FEW, carry=[_SHORT[name] for name in names])
+    return pairs.withColumnsRenamed({f"{p}_{_SHORT[name]}": f"{p}_{name}" for p in "lr" for name in names})
 
 
 def _overlaps(spark, d, *names):
@@ -170,31 +172,31 @@ def ngram_sim(spark, d):
 
 
 def lcs_ratio(spark, d):
-    p = _name_pairs(spark, d)
+    p = _text_pairs(spark, d, "name")
     a, b = F.col("l_name"), F.col("r_name")
     return p.withColumn("n", F.get(S.lcs_lengths([(a, b)]), F.lit(0))).select("s1_id", "cand_id", F.round(S.lcs_ratio(F.col("n"), a, b), 9).alias("sim"))
 
 
 def osa_ratio(spark, d):
-    p = _name_pairs(spark, d)
+    p = _text_pairs(spark, d, "name")
     a, b = F.col("l_name"), F.col("r_name")
     return p.withColumn("n", F.get(S.osa_distances([(a, b)]), F.lit(0))).select("s1_id", "cand_id", F.round(S.osa_ratio(F.col("n"), a, b), 9).alias("sim"))
 
 
 def token_sort_ratio(spark, d):
-    p = _name_pairs(spark, d).withColumns({"a": S.sorted_tokens(F.col("l_name")), "b": S.sorted_tokens(F.col("r_name"))})
+    p = _text_pairs(spark, d, "name").withColumns({"a": S.sorted_tokens(F.col("l_name")), "b": S.sorted_tokens(F.col("r_name"))})
     a, b = F.col("a"), F.col("b")
     return p.withColumn("n", F.get(S.osa_distances([(a, b)]), F.lit(0))).select("s1_id", "cand_id", F.round(S.osa_ratio(F.col("n"), a, b), 9).alias("sim"))
 
 
 def pair_flags(spark, d):
-    p = _name_pairs(spark, d)
+    p = _text_pairs(spark, d, "name", "addr")
     a, b, x, y = F.col("l_name"), F.col("r_name"), F.col("l_addr"), F.col("r_addr")
     return p.select("s1_id", "cand_id", F.round(S.length_difference(a, b), 9).alias("len_diff"), S.exact(a, b).alias("exact"), S.both_present(a, b).alias("present"), S.first_token_match(a, b).alias("first"), S.exact(S.digits(x), S.digits(y)).alias("digits"))
 
 
 def set_extensions(spark, d):
-    p = _name_pairs(spark, d)
+    p = _text_pairs(spark, d, "addr")
     a, b = F.col("l_addr"), F.col("r_addr")
     return p.select("s1_id", "cand_id", F.round(S.dice(a, b), 9).alias("dice"), F.round(S.overlap_coefficient(a, b), 9).alias("overlap"))
 

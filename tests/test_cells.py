@@ -71,6 +71,14 @@ def test_pairs_are_not_shuffled(spark, sf_dir, name):
     assert not [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x and "cand_id" in x.split(")")[0]]
 
 
+@pytest.mark.parametrize("name, texts", [("lcs_ratio", ["name_core"]), ("osa_ratio", ["name_core"]), ("token_sort_ratio", ["name_core"]), ("set_extensions", ["address_clean"]), ("pair_flags", ["name_core", "address_clean"])])
+def test_only_texts_that_are_asked_for_are_shuffled(spark, sf_dir, monkeypatch, name, texts):
+    asked, best = [], C.best_candidates
+    monkeypatch.setattr(C, "best_candidates", lambda *a, carry, **more: asked.append(carry) or best(*a, carry=carry, **more))
+    QUERIES[name](spark, sf_dir)
+    assert asked == [[f"business_{x}" for x in texts]]
+
+
 def test_overlaps_that_pairs_have_are_not_worked_out_again(spark):
     fields = {c: "" for c in X.CLEAN_FIELDS}
     records = spark.createDataFrame([{"entity_id": "a"} | fields])
