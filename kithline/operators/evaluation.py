@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,15 +40,27 @@ def matches(scored: DataFrame, threshold: float) -> DataFrame:
     return kept.groupBy(F.col("s1_id").alias("source1_entity_id")).agg(F.array_join(F.array_distinct(F.array_sort(F.collect_list("cand_id"))), ",").alias("matched_entity_ids"))
 
 
+def _place(score: Column, grid: list[float]) -> Column:
+    """How many values of an ascending grid are at most the score: whole blocks first, then those of the block it falls into."""
+    width = math.isqrt(len(grid))
+    values = F.array(*map(F.lit, grid))
+    one = lambda t: F.when(score >= t, 1).otherwise(0)
+    whole = sum(one(F.lit(t)) for t in grid[width - 1 :: width]) * width
+    return whole + sum(one(F.get(values, whole + j)) for j in range(width - 1))
+
+
 def threshold_sweep(scored: DataFrame, truth: DataFrame, grid: list[float] = GRID) -> DataFrame:
     """(threshold, f05) of every grid value in one pass.
 
     scored: (s1_id, cand_id, score); truth: (s1_id, cand_id), both distinct. A pair counts for all
     thresholds up to its own place in the grid: counts per (record, place) are added up from the top.
+    scored may have hit, how often truth has the pair; then pairs are counted where they are, without a join.
     """
-    place = F.size(F.filter(F.array(*map(F.lit, grid)), lambda t: t <= F.col("score")))
-    hit = truth.select("s1_id", "cand_id").withColumn("hit", F.lit(1))
-    counts = scored.join(hit, ["s1_id", "cand_id"], "left").groupBy("s1_id", place.alias("place")).agg(F.count("*").alias("n"), F.count("hit").alias("ok"))
+    place = _place(F.col("score"), grid)
+    if "hit" not in scored.columns:
+        scored = scored.join(truth.select("s1_id", "cand_id").withColumn("hit", F.lit(1)), ["s1_id", "cand_id"], "left")
+    hit = F.coalesce("hit", F.lit(0))
+    counts = scored.groupBy("s1_id", place.alias("place")).agg(F.sum(F.greatest(hit, F.lit(1))).alias("n"), F.sum(hit).alias("ok"))
     records = counts.groupBy("s1_id").agg(F.collect_list(F.struct("place", "n", "ok")).alias("at"))  # at most a row a grid value
     true = records.join(truth.groupBy("s1_id").agg(F.count("*").alias("true")), "s1_id", "left").withColumn("true", F.coalesce("true", F.lit(0)))
     every = true.select("at", "true", F.explode(F.sequence(F.lit(1), F.lit(len(grid)))).alias("place"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kithline.functions import similarity as S
 from kithline.operators import blocking as B
 from kithline.operators import cells as C
+from kithline.operators import evaluation as E
 from kithline.operators import features as X
 from kithline.plans import files
 from kithline.plans.queries import QUERIES as PLAIN
@@ -85,3 +86,33 @@ def test_overlaps_that_pairs_have_are_not_worked_out_again(spark):
     pairs = spark.createDataFrame([("a", "a", 0.25)], "s1_id string, cand_id string, addr_jaccard double")
     row = X.clean_features(pairs, records, records).first()
     assert row.addr_jaccard == 0.25 and row.name_jaccard == 1.0
+
+
+def test_keys_are_made_once_a_record_however_many_parts_it_goes_to(spark, capfd):
+    C.best_candidates(records(spark, "q", 60, 7), records(spark, "c", 90, 8), 5, overlaps={"t": ("business_address_clean", 0)}).explain()
+    plan = capfd.readouterr().out.splitlines()
+    at = lambda x: len(x) - len(x.lstrip(" :+-*()0123456789"))
+    above = [p for i, p in enumerate(plan) if "Project [" in p and i + 1 < len(plan) and "Generate explode(sequence(" in plan[i + 1] and at(plan[i + 1]) > at(p)]
+    assert len(above) >= 3 and not [p for p in above if "xxhash64" in p]
+
+
+def test_the_sweep_shuffles_no_pairs(spark, sf_dir):
+    plan = QUERIES["threshold_sweep"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString().splitlines()
+    from_pairs = [i for i, x in enumerate(plan) if "MapInArrow" in x or "PythonMapInArrow" in x]
+    last = max(i for i in range(from_pairs[0]) if "Exchange " in plan[i])
+    assert from_pairs and any("HashAggregate" in x for x in plan[last:from_pairs[0]])
+
+
+def test_a_sweep_of_pairs_that_know_their_hits_is_that_of_a_join(spark):
+    scored = spark.createDataFrame([("a", "x", 0.9), ("a", "y", 0.4), ("b", "z", 0.5), ("b", "y", 0.7)], "s1_id string, cand_id string, score double")
+    truth = spark.createDataFrame([("a", "x"), ("b", "y"), ("b", "y"), ("b", "v"), ("c", "x")], "s1_id string, cand_id string")
+    hits = {("a", "x"): 1, ("b", "y"): 2}
+    known = spark.createDataFrame([(*r, hits.get((r.s1_id, r.cand_id), 0)) for r in scored.collect()], "s1_id string, cand_id string, score double, hit int")
+    assert sorted(E.threshold_sweep(known, truth).collect()) == sorted(E.threshold_sweep(scored, truth).collect())
+
+
+@pytest.mark.parametrize("grid", [E.GRID, E.GRID[:1], E.GRID[:7], E.GRID[:16]])
+def test_the_place_of_a_score_is_the_number_of_grid_values_up_to_it(spark, grid):
+    scores = [*E.GRID, *[x + 1e-9 for x in E.GRID], *[x - 1e-9 for x in E.GRID], 0.0, 1.0, float("nan"), None]
+    got = spark.createDataFrame([(x,) for x in scores], "score double").select("score", E._place(F.col("score"), grid).alias("place")).collect()
+    assert [r.place for r in got] == [0 if x is None else len(grid) if x != x else sum(t <= x for t in grid) for x in scores]
