@@ -152,9 +152,10 @@ def group_split(spark, d):
 _SHORT = {"name": "business_name_core", "addr": "business_address_clean"}
 
 
-def _text_pairs(spark, d, *names):
-    """Names or addresses, as asked for, of each record and its best candidates."""
-    pairs = C.best_candidates(*fx.sources(spark, d), FEW, carry=[_SHORT[name] for name in names])
+def _text_pairs(spark, d, *names, overlaps=None, **made):
+    """Names or addresses, as asked for, of each record and its best candidates; made: by name, what of them the pairs get."""
+    carry_as = {_SHORT[name]: of(F.col(_SHORT[name])) for name, of in made.items()}
+    pairs = C.best_candidates(*fx.sources(spark, d), FEW, carry=[_SHORT[name] for name in names], overlaps=overlaps, carry_as=carry_as)
     return pairs.withColumnsRenamed({f"{p}_{_SHORT[name]}": f"{p}_{name}" for p in "lr" for name in names})
 
 
@@ -196,9 +197,10 @@ def token_sort_ratio(spark, d):
 
 
 def pair_flags(spark, d):
-    p = _text_pairs(spark, d, "name", "addr")
-    a, b, x, y = F.col("l_name"), F.col("r_name"), F.col("l_addr"), F.col("r_addr")
-    return p.select("s1_id", "cand_id", F.round(S.length_difference(a, b), 9).alias("len_diff"), S.exact(a, b).alias("exact"), S.both_present(a, b).alias("present"), S.first_token_match(a, b).alias("first"), S.exact(S.digits(x), S.digits(y)).alias("digits"))
+    p = _text_pairs(spark, d, "name", "addr", name=lambda a: F.struct(a.alias("text"), S.first_token(a).alias("first")), addr=S.digits)
+    a, b, x, y = F.col("l_name.text"), F.col("r_name.text"), F.col("l_addr"), F.col("r_addr")
+    first = S.exact(F.col("l_name.first"), F.col("r_name.first"))
+    return p.select("s1_id", "cand_id", F.round(S.length_difference(a, b), 9).alias("len_diff"), S.exact(a, b).alias("exact"), S.both_present(a, b).alias("present"), first.alias("first"), S.exact(x, y).alias("digits"))
 
 
 def set_extensions(spark, d):

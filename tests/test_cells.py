@@ -116,3 +116,20 @@ def test_the_place_of_a_score_is_the_number_of_grid_values_up_to_it(spark, grid)
     scores = [*E.GRID, *[x + 1e-9 for x in E.GRID], *[x - 1e-9 for x in E.GRID], 0.0, 1.0, float("nan"), None]
     got = spark.createDataFrame([(x,) for x in scores], "score double").select("score", E._place(F.col("score"), grid).alias("place")).collect()
     assert [r.place for r in got] == [0 if x is None else len(grid) if x != x else sum(t <= x for t in grid) for x in scores]
+
+
+def test_pairs_get_what_is_made_of_a_carried_column(spark):
+    queries, corpus = records(spark, "q", 60, 3), records(spark, "c", 200, 4)
+    both = corpus.unionByName(corpus.replace({"US": "France"}, subset=["country"]))
+    size = F.length("business_address_clean")
+    for of in (corpus, both):
+        whole = C.best_candidates(queries, of, 5, carry=["business_name_core", "business_address_clean"], overlaps={"g": ("business_address_clean", 3)})
+        want = whole.withColumns({c: F.length(c) for c in ("l_business_address_clean", "r_business_address_clean")})
+        got = C.best_candidates(queries, of, 5, carry=["business_name_core", "business_address_clean"], overlaps={"g": ("business_address_clean", 3)}, carry_as={"business_address_clean": size})
+        assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_pair_flags_makes_first_tokens_and_digits_once_a_record(spark, sf_dir):
+    plan = QUERIES["pair_flags"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    of_pairs = plan[: next(i for i, x in enumerate(plan) if "MapInArrow" in x)]
+    assert of_pairs and not [x for x in of_pairs if "regexp_replace(" in x or "split(" in x]
