@@ -204,9 +204,10 @@ def pair_flags(spark, d):
 
 
 def set_extensions(spark, d):
-    p = _text_pairs(spark, d, "addr")
-    a, b = F.col("l_addr"), F.col("r_addr")
-    return p.select("s1_id", "cand_id", F.round(S.dice(a, b), 9).alias("dice"), F.round(S.overlap_coefficient(a, b), 9).alias("overlap"))
+    p = _text_pairs(spark, d, "addr", overlaps={"jaccard": X.CLEAN_OVERLAPS["addr_jaccard"]}, addr=lambda a: F.size(K.token_set(a)))
+    n, m = F.col("l_addr"), F.col("r_addr")
+    both = S.shared_of(F.col("jaccard"), n, m)
+    return p.select("s1_id", "cand_id", F.round(S.dice_of(both, n, m), 9).alias("dice"), F.round(S.overlap_of(both, n, m), 9).alias("overlap"))
 
 
 def _rounded(df, names):

@@ -129,7 +129,14 @@ def test_pairs_get_what_is_made_of_a_carried_column(spark):
         assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
-def test_pair_flags_makes_first_tokens_and_digits_once_a_record(spark, sf_dir):
-    plan = QUERIES["pair_flags"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+@pytest.mark.parametrize("name", ["pair_flags", "set_extensions"])
+def test_tokens_and_digits_are_made_once_a_record_not_once_a_pair(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().splitlines()
     of_pairs = plan[: next(i for i, x in enumerate(plan) if "MapInArrow" in x)]
-    assert of_pairs and not [x for x in of_pairs if "regexp_replace(" in x or "split(" in x]
+    assert of_pairs and not [x for x in of_pairs if any(f in x for f in ("regexp_replace(", "split(", "array_intersect("))]
+
+
+def test_shared_entries_come_back_from_a_jaccard(spark):
+    rows = [(both, n, m, both / (n + m - both) if n + m else 1.0) for n in range(41) for m in range(41) for both in range(min(n, m) + 1)]
+    got = spark.createDataFrame(rows, "k int, n int, m int, j double").select("k", S.shared_of(F.col("j"), F.col("n"), F.col("m")).alias("s"))
+    assert got.where("s <> k or s is null").count() == 0
