@@ -16,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .bounds import Bounds
 from .evaluation import best_threshold, matches, threshold_sweep
 from .labels import in_validation
 
@@ -34,6 +35,10 @@ class Matcher:
         made = self.model.transform(pairs.na.fill(0.0, self.features))
         return made.withColumn("score", F.get(vector_to_array("probability"), F.lit(1))).select(*pairs.columns, "score")
 
+    def bounds(self) -> Bounds | None:
+        """Tells pairs that cannot reach the threshold; None for models that it does not know."""
+        return Bounds.of(self.model.stages[-1], self.features, self.threshold)
+
     def save(self, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")
         SparkSession.active().createDataFrame([(json.dumps({"features": self.features, "threshold": self.threshold}),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/matcher")

@@ -288,13 +288,20 @@ def unknown_candidates(spark, d):
 def model_fit_predict(spark, d):
     """Fit on sampled pairs, tune, score and assemble: one row for each S1 record."""
     s1, corpus = fx.sources(spark, d)
-    pairs = shelve(C.best_candidates(s1, corpus, KEPT, overlaps=X.CLEAN_OVERLAPS).drop("score", "rank"))
-    truth = fx.truth(spark, d)
-    featured = X.clean_features_of(C.best_candidates(s1, corpus, KEPT, carry=X.CLEAN_FIELDS, overlaps=X.CLEAN_OVERLAPS), ["s1_id", "cand_id"])
-    train = X.clean_features(L.sampled(pairs, truth), s1, corpus)
+    truth = shelve(fx.truth(spark, d))
+    if C.of_many_countries(s1) or C.of_many_countries(corpus):
+        pairs = shelve(C.best_candidates(s1, corpus, KEPT, overlaps=X.CLEAN_OVERLAPS).drop("score", "rank"))
+        featured = X.clean_features_of(C.best_candidates(s1, corpus, KEPT, carry=X.CLEAN_FIELDS, overlaps=X.CLEAN_OVERLAPS), ["s1_id", "cand_id"])
+        matcher, _ = M.fit(X.clean_features(L.sampled(pairs, truth), s1, corpus), truth, X.CLEAN_FEATURES)
+        unshelve(pairs, truth)
+        return M.predict(matcher, featured, s1)
+    lists = shelve(C.best_lists(s1, corpus, KEPT))  # blocking is done once; pairs are made where their texts are
+    drawn = C.listed_pairs(L.sampled_lists(lists, truth), s1, corpus, X.CLEAN_FIELDS, X.CLEAN_OVERLAPS)
+    train = L.labelled(X.clean_features_of(drawn, ["s1_id", "cand_id"]), truth)
     matcher, _ = M.fit(train, truth, X.CLEAN_FEATURES)
-    unshelve(pairs)
-    return M.predict(matcher, featured, s1)
+    hopeful = C.listed_pairs(lists, s1, corpus, X.CLEAN_FIELDS, X.CLEAN_OVERLAPS, matcher.bounds())
+    unshelve(truth)
+    return M.predict(matcher, X.clean_features_of(hopeful, ["s1_id", "cand_id"]), s1)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
