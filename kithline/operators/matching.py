@@ -7,6 +7,7 @@ with a ranking stop, so scores differ, not their use.
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -22,6 +23,8 @@ from .labels import in_validation
 
 
 BACKENDS = ("gbt", "forest", "logistic")
+#: Rows of a task that learns.
+LESSONS = 250_000
 
 
 @dataclass
@@ -84,6 +87,8 @@ def fit(
         assembler = VectorAssembler(inputCols=features, outputCol="features")
         learner = _estimator(backend, rounds, depth, seed)
         lessons = rows_w if backend == "gbt" else rows_w.where("not held")  # boosting needs the held-out rows to know when to stop
+        tasks = max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(sum(classes.values()) / LESSONS))
+        lessons = lessons.coalesce(tasks)  # boosting runs hundreds of small jobs over the same rows
         model = PipelineModel([assembler, learner.fit(assembler.transform(lessons))])
         matcher = Matcher(model, features, 0.5)
         scored = matcher.score(rows.where("held").select("s1_id", "cand_id", *features)).select("s1_id", "cand_id", "score")
